@@ -37,7 +37,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it again."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
