@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per Spark context (they may not have it installed)."""
+    context = spark.sparkContext
+    if getattr(context, "_muster_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="muster-")) / "muster_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._muster_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -108,7 +125,7 @@ def with_offsets(local: DataFrame, per_part: list, value: str, out: str, by: str
     return local.join(F.broadcast(offsets), ["_part", by] if by else ["_part"]).withColumn(out, F.col(value) + F.col("_offset")).drop("_offset")
 
 
-def join_to_key(rows: DataFrame, keys: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+def join_to_key(rows: DataFrame, keys: DataFrame, key: str | list[str], weight: str, total: int) -> DataFrame:
     """Inner-join stored ``rows`` to ``keys`` (one row per key; ``weight``: how many of the ``total`` rows it has).
 
     A key with 1/1024 of all rows or more is broadcast (the weights sum to the total, so these are 1024 at most);
@@ -117,7 +134,7 @@ def join_to_key(rows: DataFrame, keys: DataFrame, key: str, weight: str, total:
     least = max(1000, int(total * HEAVY_SHARE))
     hot = F.broadcast(keys.filter(F.col(weight) >= least))
     cold = keys.filter(F.col(weight) < least)
-    return rows.join(hot, key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+    return rows.join(hot, key).unionByName(rows.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(cold, key))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:

@@ -7,7 +7,7 @@ that they cover). Each window lies in exactly one context, and only contexts who
 windows:
 
 1. One pass cuts every document into contexts and stores (anchor, hash of the context, place).
-2. Contexts that occur twice as a whole are repeated; this is a count by hash (128 bits).
+2. Contexts that occur twice as a whole are repeated; this is a count by two hashes of 64 bits (anchor and context).
 3. What is left are single contexts whose anchor has other contexts. Their bytes, and those of one copy of each of the
    others, are gathered in blocks by anchor. Of each block the run-compressed Burrows-Wheeler transform is built, with
    suffix-array and match-length samples at the ends of its runs. Streaming over the text gives every position's match
@@ -199,16 +199,16 @@ def block_spans(rows: list[tuple[int, int, bytes]], length: int = LENGTH) -> lis
 
 
 def _cut(length: int, gram: int):
-    names = ["anchor", "ctx", "doc_id", "th", "first", "windows"]
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["anchor", "ctx", "doc_id", "th", "spot"]
+    kinds = [pa.int64()] * 5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(length, gram)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 ids, ths, texts = (batch.column(i).slice(lo, 500).to_pylist() for i in range(3))
-                rows = [(anchor, xxhash.xxh3_128_digest(data), ids[k], ths[k], first, windows) for k, first, windows, anchor, data in cutter.contexts([t or b"" for t in texts])]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], names=names)
+                rows = [(anchor, xxhash.xxh3_64_intdigest(data) - (1 << 63), ids[k], ths[k], first << 12 | windows) for k, first, windows, anchor, data in cutter.contexts([t or b"" for t in texts])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], names=names)
 
     return run
 
@@ -216,15 +216,13 @@ def _cut(length: int, gram: int):
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most_bytes: int = MOST_BYTES) -> DataFrame:
     """doc_id, th, start, stop of strings to remove (they may overlap). ``docs``: doc_id, th (hash of the text), body (binary)."""
     spark = docs.sparkSession
-    found = docs.mapInArrow(_cut(length, gram), "anchor long, ctx binary, doc_id long, th long, first long, windows long")
+    found = docs.mapInArrow(_cut(length, gram), "anchor long, ctx long, doc_id long, th long, spot long")
     found = stored(found, "contexts")
-    by_ctx = stored(
-        found.groupBy("anchor", "ctx").agg(
-            F.count("*").alias("copies"), F.first("windows").alias("windows"), F.first("doc_id").alias("doc_id"), F.first("th").alias("th"), F.first("first").alias("first")
-        ), "by-context",
-    )
-    place = ["doc_id", "th", F.col("first").alias("start"), (F.col("first") + F.col("windows") + (length - 1)).alias("stop")]
-    whole = join_to_key(found, by_ctx.filter("copies > 1").select("ctx", "copies"), "ctx", "copies", found.count()).select(*place)
+    first, windows = F.shiftright("spot", 12).alias("first"), F.col("spot").bitwiseAND(F.lit(4095)).alias("windows")
+    by_ctx = stored(found.groupBy("anchor", "ctx").agg(F.count("*").alias("copies"), F.first("spot").alias("spot"), F.first("doc_id").alias("doc_id"), F.first("th").alias("th")), "by-context")
+    place = ["doc_id", "th", first.alias("start"), (first + windows + (length - 1)).alias("stop")]
+    whole = join_to_key(found, by_ctx.filter("copies > 1").select("anchor", "ctx", "copies"), ["anchor", "ctx"], "copies", found.count()).select(*place)
+    by_ctx = by_ctx.select("anchor", "copies", "doc_id", "th", first, windows)
 
     anchors = by_ctx.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("least"), F.sum(F.col("windows") + (length - 1)).alias("bytes"))
     anchors = stored(anchors.filter("kinds > 1 and least = 1"), "anchors")
