@@ -15,8 +15,8 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,7 +33,7 @@ PIECE = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Most pieces and pair verdicts that a worker remembers; beyond it, it forgets all and goes on.
 CACHE = 400_000
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 6_000_000
 
 
 class TrieBpe:
@@ -59,6 +59,7 @@ class TrieBpe:
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
+        self.words: dict[str, tuple[int, str, str]] = {}
         self.known: dict[str, tuple[int, str, str]] = {}
 
     # -- what two tokens give together -------------------------------------------------------------------------
@@ -93,10 +94,10 @@ class TrieBpe:
 
     def last_token(self, word: str, n: int, last: list[str], suffix: str, longest: int) -> str:
         """The last token of the encoding of word[:n] + suffix; last[i]: that of word[:i], for i < n."""
-        vocab, pairs = self.vocab, self.pairs
+        vocab, pairs, whole = self.vocab, self.pairs, self.whole
         for start in range(max(0, n - longest), n):
             token = word[start:n] + suffix
-            if token not in vocab or not self.is_whole(token):
+            if token not in vocab or not (whole.get(token) or (token not in whole and self.is_whole(token))):
                 continue
             if not start:
                 return token
@@ -112,7 +113,9 @@ class TrieBpe:
         out: dict[str, tuple[str, ...]] = {}
         last, before = [""], ""
         for word in sorted(words):
-            shared = len(os.path.commonprefix((before, word)))
+            shared, most = 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
             del last[min(shared, len(word) - 1) + 1 :]
             for n in range(len(last), len(word)):
                 last.append(self.last_token(word, n, last, "", self.longest))
@@ -145,14 +148,21 @@ class TrieBpe:
         """Encode the pieces that aren't known yet, all of their words through one trie."""
         if len(self.known) > CACHE:
             self.known.clear()
-        if len(self.pairs) > CACHE:
+        if len(self.pairs) > 2 * CACHE:
             self.pairs.clear()
+        if len(self.words) > CACHE:
+            self.words.clear()
         new = {p: self.split(p) for p in pieces if p not in self.known}
-        coded = self.encode_words(list({w for words in new.values() for w, special in words if not special}))
-        vocab = self.vocab
-        for piece, words in new.items():
-            tokens = [t for w, special in words for t in ((w,) if special else coded[w])]
-            self.known[piece] = (len(tokens), " ".join([str(vocab[t] if t in vocab else self.special[t]) for t in tokens]), " ".join(tokens))
+        words, vocab = self.words, self.vocab
+        fresh = {w for parts in new.values() for w, special in parts if not special and w not in words}
+        for w, tokens in self.encode_words(list(fresh)).items():
+            words[w] = (len(tokens), " ".join([str(vocab[t]) for t in tokens]), " ".join(tokens))
+        for piece, parts in new.items():
+            if len(parts) == 1 and not parts[0][1]:
+                self.known[piece] = words[parts[0][0]]
+                continue
+            coded = [(1, str(self.special[w]), w) if special else words[w] for w, special in parts]
+            self.known[piece] = (sum([c[0] for c in coded]), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded]))
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """Of each text: the number of tokens, the ids in decimal joined by one space, the decoded text."""
@@ -162,7 +172,7 @@ class TrieBpe:
         for pieces in cut:
             coded = [known[p] for p in pieces]
             coded = [c for c in coded if c[0]]
-            out.append((sum(c[0] for c in coded), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded])))
+            out.append((sum([c[0] for c in coded]), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded])))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -190,6 +200,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
     arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the caches hold millions of small objects and no cycles
         bpe = encoder(vocabulary if "/" in vocabulary else vocabulary_path(vocabulary))
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
