@@ -75,3 +75,25 @@ def test_plans_have_no_cartesian_products(spark):
     for name in ("findings", "flips", "transfer_classify", "payment_summary"):
         plan = census.run(name, spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("name", ["import_roundtrip", "stream_dedup"])
+def test_job_equals_oracle(spark, duck, name):
+    from muster.plans import jobs
+
+    want = duck.execute(jobs.ORACLE_SQL[name])
+    names = [d[0] for d in want.description]
+    assert shown(jobs.QUERIES[name](spark, SF).select(*names).collect()) == shown(want.fetchall())
+
+
+def test_export_keeps_agents_without_checks(spark):
+    from muster.plans import jobs
+
+    assert jobs.export_nested(spark, SF).count() == census.run("snapshots_all", spark, SF).count()
+
+
+def test_entry(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() == 15
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
