@@ -85,10 +85,10 @@ QUERIES: dict[str, tuple[str, str]] = {
     "transfer_classify": ("transfers", "select verdict, count(*) as n, cast(sum(value_raw) as bigint) as value_raw from transfers group by verdict"),
     "transfer_rules": ("transfers", f"select {verdicts.exclusion('''(case when l_linenumber % 7 = 6 then 'out' else 'in' end)''', 'cast(payer as varchar(20))', 'cast(payee as varchar(20))', 'cast(agent as varchar(20))', '(case when payee % 31 = 0 then null else mint end)', 'block')} as verdict, count(*) as n from transfers group by 1"),
     "payment_summary": ("transfers", f", {_PAID} select count(distinct payee) as addresses, count(distinct agent) as agents, count(distinct case when x402 then agent end) as x402_agents, count(*) as n, cast(sum(case when to_contract then value_raw else 0 end) as bigint) as contract_raw, cast(sum(case when to_contract then 0 else value_raw end) as bigint) as eoa_raw, (select count(*) from (select agent from paid group by agent having bool_and(shared)) z) as all_shared from paid"),
-    "contract_share": ("transfers", f"select agent, case when count(*) filter (where payer % 100 = 0) > 0 then null else {_PCT.format('sum(case when to_contract then value_raw else 0 end)', 'sum(value_raw)')} end as pct from transfers where verdict = 'counted' and payee < 20 group by agent"),
+    "contract_share": ("transfers", f"select agent, case when count(*) filter (where payer % 100 = 0) > 0 then null else {_PCT.format('sum(case when to_contract then value_raw else 0 end)', 'sum(value_raw)')} end as pct from transfers where verdict = 'counted' group by agent"),
     "shared_address_histogram": ("transfers", f", {_PAID} select n_agents, count(*) as addresses from holders group by n_agents"),
     "premint_share": ("transfers", "select payee, bool_and(verdict = 'pre_mint') as all_before, count(*) as n from transfers group by payee"),
-    "format_units": ("transfers", f"select l_orderkey, l_linenumber, value_raw, {scalar.format_units('cast(value_raw as varchar(30))', 6)} as shown, {scalar.format_units('''case when payee % 3 = 0 then 'x1' else '00' || cast(value_raw as varchar(30)) end''', 18)} as long_shown from transfers where l_orderkey % 10 = 0"),
+    "format_units": ("transfers", f"select l_orderkey, l_linenumber, value_raw, {scalar.format_units('cast(value_raw as varchar(30))', 6)} as shown, {scalar.format_units('''case when payee % 3 = 0 then 'x1' else '00' || cast(value_raw as varchar(30)) end''', 18)} as long_shown from transfers"),
     "paid_medians": ("transfers", "select verdict, percentile_cont(0.5) within group (order by value_raw) as median, percentile_cont(0.9) within group (order by value_raw) as p90 from transfers group by verdict"),
     "paid_means": ("transfers", "select agent, round(avg(cast(value_raw as double)), 4) as mean_value, min(value_raw) as least, max(value_raw) as most from transfers where verdict = 'counted' group by agent"),
     "x402_first_authorizer": ("transfers", "select l_orderkey, min_by(payee, l_linenumber * 100000 + payee) as first_payee from transfers where x402 group by l_orderkey"),
