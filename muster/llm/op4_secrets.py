@@ -6,7 +6,8 @@ matches add up to each match's start. Only texts that a pattern occurs in are sp
 Entropy: runs of 20 or more characters of a token alphabet that hold a digit are candidates. Over each, a window of 20
 characters slides; one aggregate carries the count of every character and the sum of c*log2(c), and a step changes the
 two counts that the window gains and loses. A candidate whose highest window entropy reaches the limit of its character
-class (hex, letters and digits, all) is a span, unless the allow-list knows it or a base span holds it.
+class (hex, letters and digits, all) is a span, unless the allow-list knows it or a base span holds it. Words and runs of
+the allow-list cut a candidate: they don't clear what is beside them. (The DuckDB SQL still clears whole candidates.)
 
 Nulls: a null text is empty. An empty text has no spans. Repeated rows are scanned each; an empty table gives no rows;
 other columns are ignored.
@@ -15,6 +16,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import math
+import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +34,21 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 #: Least entropy in bits of the best window, by class.
 LIMITS = {"hex": 2.9, "alnum": 3.75, "all": 3.9}
-#: Never a secret: UUIDs, alphabet and digit runs, words that say so, dates and paths of plain words.
+def _run(letters: str, least: int = 10) -> str:
+    """A run of the first ``least`` letters or more, in their order."""
+    more = ""
+    for c in reversed(letters[least:]):
+        more = f"(?:{c}{more})?"
+    return letters[:least] + more
+
+
+#: Never part of a secret: alphabet and digit runs, words that say so. A candidate is cut at these, its pieces are judged.
+ALLOWED_PIECE = "|".join(["0123456789", _run(string.ascii_lowercase), _run(string.ascii_uppercase), "(?i:example|sample|placeholder|changeme|dummy|xxxx)"])
+#: Never a secret as a whole: UUIDs, and dates and paths of plain words (letters only, or four digits at most).
+ALLOWED_WHOLE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|^[/_-]*([a-z]+|[0-9]{1,4})([/_-]+([a-z]+|[0-9]{1,4}))*[/_-]*$"
+#: The allow-list of the DuckDB SQL, which applies it to whole candidates.
 ALLOWED = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|0123456789|abcdefghij|ABCDEFGHIJ|(?i:example|sample|placeholder|changeme|dummy|xxxx)|^[a-z]+([/_-][a-z0-9]+)+$"
 
-
 def located(text: Column, pattern: str, value_group: int = 0, least: int = 0) -> Column:
     """Array of (start, end) of the leftmost non-overlapping matches, in code points; those whose group has ``least`` characters."""
     spot = "array<struct<start:int,stop:int>>"
@@ -89,11 +102,14 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     t = F.col("t")
     d = d.select("doc_id", "t", located(t, ASSIGN, 2, 6).alias("assign"), located(t, ACCESS).alias("access"), located(t, HEX).alias("hex"), located(t, CANDIDATE).alias("candidates"))
 
+    def secret(piece: Column) -> Column:
+        limit = F.when(piece.rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).when(piece.rlike("^[0-9A-Za-z]+$"), LIMITS["alnum"]).otherwise(LIMITS["all"])
+        return F.when((F.length(piece) < WINDOW) | piece.rlike(ALLOWED_WHOLE), False).otherwise(best_window_entropy(piece) >= limit)
+
     def suspicious(s: Column) -> Column:
         word = F.substring(t, s["start"] + 1, s["stop"] - s["start"])
-        limit = F.when(word.rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).when(word.rlike("^[0-9A-Za-z]+$"), LIMITS["alnum"]).otherwise(LIMITS["all"])
         held = F.exists(F.concat("assign", "access", "hex"), lambda b: (b["start"] <= s["start"]) & (b["stop"] >= s["stop"]))
-        return F.when(~word.rlike("[0-9]") | held | word.rlike(ALLOWED), False).otherwise(best_window_entropy(word) >= limit)
+        return F.when(~word.rlike("[0-9]") | held | word.rlike(ALLOWED_WHOLE), False).otherwise(F.exists(F.split(word, ALLOWED_PIECE), secret))
 
     d = d.withColumn("entropy", F.when(F.size("candidates") > 0, F.filter("candidates", suspicious)).otherwise(F.col("candidates")))
 
