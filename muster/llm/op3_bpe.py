@@ -7,7 +7,8 @@ the node where that token starts. The depth-first walk finds each node's last to
 word's last symbol carries the end-of-word mark and is resolved at its leaf. Encodings are read back from the leaf.
 
 Texts are cut at ASCII white space first, at which no word of the tokenizer can cross; the tokenizer's own normaliser and
-splitter turn a cut piece into words. Each task keeps a bounded cache from piece to ids. There is no shuffle.
+splitter turn a cut piece into words. Each task keeps caches of bounded size (REMEMBERED short pieces and words, and some
+more verdicts on pairs of tokens) and works on BATCH_CHARS of text at a time, or on one text that is longer. There is no shuffle.
 
 Nulls: a null text is empty and has no tokens. Texts of any length are encoded whole. Repeated rows are encoded each;
 an empty table gives no rows; other columns are ignored.
@@ -21,7 +22,9 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +32,34 @@ from pyspark.sql import types as T
 from muster.llm.common import arrow_type, table
 
 PIECE = re.compile(r"[^\x20\x09-\x0D]+")
-#: Words of an ASCII piece in lower case, as the vocabulary file's own pattern splits it. (A fixed value.)
+#: A vocabulary file's splitter, and what it comes to on a printable ASCII piece in lower case. (Fixed values.)
+SPLITTER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-#: Most pieces and pair verdicts that a worker remembers; beyond it, it forgets all and goes on.
-CACHE = 400_000
-BATCH_CHARS = 6_000_000
+#: Most pieces, words and pair verdicts in the younger half of a worker's caches; beyond it, the older half is forgotten.
+REMEMBERED = 180_000
+#: Longer pieces aren't remembered.
+LONGEST = 48
+BATCH_CHARS = 5_000_000
+
+
+class Memory(dict):
+    """A cache in two halves: entries of the older half that are asked for move to the younger one."""
+
+    def __init__(self, most: int = REMEMBERED):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, key):
+        self[key] = found = self.old[key]
+        return found
+
+    def knows(self, key) -> bool:
+        return key in self or key in self.old
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
 
 
 class TrieBpe:
@@ -59,8 +85,15 @@ class TrieBpe:
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
-        self.words: dict[str, tuple[int, str, str]] = {}
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.words, self.known = Memory(), Memory()
+        self.plain = self._is_plain(spec)
+
+    @staticmethod
+    def _is_plain(spec: dict) -> bool:
+        """Whether the file's normaliser and splitter are those that ASCII_WORD can stand in for."""
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        return kinds == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"] == {"Regex": SPLITTER} and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
 
     # -- what two tokens give together -------------------------------------------------------------------------
 
@@ -137,40 +170,42 @@ class TrieBpe:
         for part in parts:
             if part in self.special:
                 words.append((part, True))
-            elif part and part.isascii() and part.isprintable():
+            elif part and self.plain and part.isascii() and part.isprintable():
                 words += [(w, False) for w in ASCII_WORD.findall(part.lower())]
             elif part:
                 normal = self.library.normalizer.normalize_str(part) if self.library.normalizer else part
                 words += [(w, False) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
         return words
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that aren't known yet, all of their words through one trie."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        if len(self.pairs) > 2 * CACHE:
+    def learn(self, pieces: set[str]) -> dict[str, tuple[int, str, str]]:
+        """What long pieces come to; the shorter ones are known afterwards. All new words go through one trie."""
+        known, words, vocab = self.known, self.words, self.vocab
+        known.age()
+        words.age()
+        if len(self.pairs) > 4 * REMEMBERED:
             self.pairs.clear()
-        if len(self.words) > CACHE:
-            self.words.clear()
-        new = {p: self.split(p) for p in pieces if p not in self.known}
-        words, vocab = self.words, self.vocab
-        fresh = {w for parts in new.values() for w, special in parts if not special and w not in words}
+        for p in pieces:
+            if p not in known and p in known.old:
+                known[p] = known.old[p]
+        new = {p: self.split(p) for p in pieces if p not in known}
+        fresh = {w for parts in new.values() for w, special in parts if not special and not words.knows(w)}
+        long = {}
         for w, tokens in self.encode_words(list(fresh)).items():
-            words[w] = (len(tokens), " ".join([str(vocab[t]) for t in tokens]), " ".join(tokens))
+            (words if len(w) <= LONGEST else long)[w] = (len(tokens), " ".join([str(vocab[t]) for t in tokens]), " ".join(tokens))
+        out = {}
         for piece, parts in new.items():
-            if len(parts) == 1 and not parts[0][1]:
-                self.known[piece] = words[parts[0][0]]
-                continue
-            coded = [(1, str(self.special[w]), w) if special else words[w] for w, special in parts]
-            self.known[piece] = (sum([c[0] for c in coded]), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded]))
+            coded = [(1, str(self.special[w]), w) if special else long[w] if w in long else words[w] for w, special in parts]
+            found = coded[0] if len(coded) == 1 else (sum([c[0] for c in coded]), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded]))
+            (known if len(piece) <= LONGEST else out)[piece] = found
+        return out
 
     def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """Of each text: the number of tokens, the ids in decimal joined by one space, the decoded text."""
         cut = [PIECE.findall(t) for t in texts]
-        self.learn({p for pieces in cut for p in pieces})
+        long = self.learn({p for pieces in cut for p in pieces})
         known, out = self.known, []
         for pieces in cut:
-            coded = [known[p] for p in pieces]
+            coded = [long[p] if p in long else known[p] for p in pieces] if long else [known[p] for p in pieces]
             coded = [c for c in coded if c[0]]
             out.append((sum([c[0] for c in coded]), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded])))
         return out
@@ -181,7 +216,9 @@ class TrieBpe:
 
 @lru_cache(2)
 def encoder(path: str) -> TrieBpe:
-    return TrieBpe(path)
+    found = TrieBpe(path)
+    gc.freeze()  # the vocabulary stays as long as the worker
+    return found
 
 
 def vocabulary_path(name: str) -> str:
@@ -200,20 +237,28 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
     arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # the caches hold millions of small objects and no cycles
         bpe = encoder(vocabulary if "/" in vocabulary else vocabulary_path(vocabulary))
-        for batch in batches:
-            names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            at = 0
-            while at < len(texts):
-                to, chars = at, 0
-                while to < len(texts) and (to == at or chars + len(texts[to]) <= BATCH_CHARS):
-                    chars += len(texts[to])
-                    to += 1
-                coded = bpe.encode(texts[at:to])
-                numbers = [c[1] for c in coded] if ids == "text" else [[int(x) for x in c[1].split()] for c in coded]
-                yield pa.RecordBatch.from_arrays([pa.array(names[at:to], pa.int64()), pa.array([c[0] for c in coded], pa.int64()), pa.array(numbers, arrow.field("ids").type), pa.array([c[2] for c in coded], pa.string())], schema=arrow)
-                at = to
+        gc.disable()  # millions of small objects without cycles
+        try:
+            for batch in batches:
+                yield from slices(bpe, batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()])
+        finally:
+            gc.enable()
+
+    def slices(bpe: TrieBpe, names: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        at = 0
+        while at < len(texts):
+            to, chars = at, 0
+            while to < len(texts) and (to == at or chars + len(texts[to]) <= BATCH_CHARS):
+                chars += len(texts[to])
+                to += 1
+            coded = bpe.encode(texts[at:to])
+            counts, decimal = np.array([c[0] for c in coded], np.int64), pa.array([c[1] for c in coded], pa.string())
+            if ids == "array":
+                flat = pc.split_pattern(decimal.filter(pa.array(counts > 0)), " ").flatten().cast(pa.int32())
+                decimal = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([pa.array(names[at:to], pa.int64()), pa.array(counts), decimal, pa.array([c[2] for c in coded], pa.string())], schema=arrow)
+            at = to
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
@@ -221,5 +266,3 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_documents(table(spark, sf_dir, "documents"), ids="text")
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
