@@ -7,10 +7,10 @@ Entropy: runs of 20 or more characters of a token alphabet that hold a digit are
 characters slides; one aggregate carries the count of every character and the sum of c*log2(c), and a step changes the
 two counts that the window gains and loses. A candidate whose highest window entropy reaches the limit of its character
 class (hex, letters and digits, all) is a span, unless the allow-list knows it or a base span holds it. Words and runs of
-the allow-list cut a candidate: they don't clear what is beside them. (The DuckDB SQL still clears whole candidates.)
+the allow-list cut a candidate: they don't clear what is beside them.
 
 Nulls: a null text is empty. An empty text has no spans. Repeated rows are scanned each; an empty table gives no rows;
-other columns are ignored.
+other columns are ignored. A candidate of any length is scanned whole; the work grows with its length.
 """
 
 from __future__ import annotations
@@ -46,8 +46,6 @@ def _run(letters: str, least: int = 10) -> str:
 ALLOWED_PIECE = "|".join(["0123456789", _run(string.ascii_lowercase), _run(string.ascii_uppercase), "(?i:example|sample|placeholder|changeme|dummy|xxxx)"])
 #: Never a secret as a whole: UUIDs, and dates and paths of plain words (letters only, or four digits at most).
 ALLOWED_WHOLE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|^[/_-]*([a-z]+|[0-9]{1,4})([/_-]+([a-z]+|[0-9]{1,4}))*[/_-]*$"
-#: The allow-list of the DuckDB SQL, which applies it to whole candidates.
-ALLOWED = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$|0123456789|abcdefghij|ABCDEFGHIJ|(?i:example|sample|placeholder|changeme|dummy|xxxx)|^[a-z]+([/_-][a-z0-9]+)+$"
 
 def located(text: Column, pattern: str, value_group: int = 0, least: int = 0) -> Column:
     """Array of (start, end) of the leftmost non-overlapping matches, in code points; those whose group has ``least`` characters."""
@@ -75,23 +73,43 @@ def _weight(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(0.0)
 
 
+#: The counts of a window lie in longs, SLOT bits for each character of ALPHABET (a window has fewer than 2**SLOT characters).
+SLOT, PER_LONG = 5, 12
+
+
+def _steps(word: Column, window: int) -> Column:
+    """Array of (into, out): the character that each step adds to the window and the one that leaves it (-1: none)."""
+    codes = F.transform(F.split(word, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    leaving = F.slice(F.concat(F.array_repeat(F.lit(-1), window), codes), F.lit(1), F.size(codes))
+    return F.zip_with(codes, leaving, lambda into, out: F.struct(into.alias("into"), out.alias("out")))
+
+
 def best_window_entropy(word: Column, window: int = WINDOW) -> Column:
-    """Highest Shannon entropy of any window of the word, by counts that each step changes at two places."""
-    chars = F.transform(F.split(word, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    n = F.size(chars)
-    state = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"))
-
-    def step(acc: Column, i: Column) -> Column:
-        into = F.element_at(chars, i)
-        out = F.when(i > window, F.element_at(chars, F.greatest(i - window, F.lit(1)))).otherwise(0)
-        gained = F.element_at(acc["counts"], into)
-        lost = F.when(out > 0, F.element_at(acc["counts"], F.greatest(out, F.lit(1)))).otherwise(0)
-        moved = F.when(into == out, 0.0).otherwise(_weight(gained + 1) - _weight(gained) + F.when(out > 0, _weight(lost - 1) - _weight(lost)).otherwise(0.0))
-        total = acc["sum"] + moved
-        counts = F.transform(acc["counts"], lambda c, k: c + F.when(k + 1 == into, 1).otherwise(0) - F.when(k + 1 == out, 1).otherwise(0))
-        return F.struct(counts.alias("counts"), total.alias("sum"), F.when(i >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
-
-    least = F.aggregate(F.sequence(F.lit(1), n), state, step, lambda acc: acc["least"])
+    """Highest Shannon entropy of any window of the word, by counts that each step changes at two places.
+
+    The steps are made once for the whole word; the fold only reads its own step, so that the work grows with the length."""
+    longs = -(-len(ALPHABET) // PER_LONG)
+    state = F.struct(F.array_repeat(F.lit(0).cast("long"), longs).alias("counts"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"), F.lit(float("inf")).alias("least"))
+
+    def place(code: Column) -> tuple[Column, Column]:
+        return F.floor(code / PER_LONG).cast("int"), F.pmod(code, F.lit(PER_LONG)) * SLOT
+
+    def step(acc: Column, s: Column) -> Column:
+        (to, to_bit), (frm, from_bit), leaves = place(s["into"]), place(s["out"]), s["out"] >= 0
+
+        def count(at: Column, bit: Column) -> Column:
+            return F.call_function("shiftrightunsigned", F.get(acc["counts"], at), bit).bitwiseAND(F.lit((1 << SLOT) - 1).cast("long"))
+
+        gained, lost = count(to, to_bit), F.when(leaves, count(frm, from_bit)).otherwise(0)
+        moved = F.when(s["into"] == s["out"], 0.0).otherwise(_weight(gained + 1) - _weight(gained) + F.when(leaves, _weight(lost - 1) - _weight(lost)).otherwise(0.0))
+        one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+        counts = F.transform(
+            acc["counts"], lambda c, k: c + F.when(k == to, F.call_function("shiftleft", one, to_bit)).otherwise(zero) - F.when(leaves & (k == frm), F.call_function("shiftleft", one, from_bit)).otherwise(zero)
+        )
+        total, n = acc["sum"] + moved, acc["n"] + 1
+        return F.struct(counts.alias("counts"), n.alias("n"), total.alias("sum"), F.when(n >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
+
+    least = F.aggregate(_steps(word, window), state, step, lambda acc: acc["least"])
     return F.lit(math.log2(window)) - least / window
 
 
@@ -142,17 +160,21 @@ def _sql_found(kind: str, pattern: str, group: int, least: int) -> str:
 
 def oracle() -> str:
     word = "substring(t, c.start + 1, c.stop - c.start)"
-    allowed = ALLOWED.replace("'", "''")
-    limit = f"case when regexp_matches({word}, '^[0-9a-fA-F]+$') then {LIMITS['hex']} when regexp_matches({word}, '^[0-9A-Za-z]+$') then {LIMITS['alnum']} else {LIMITS['all']} end"
-    entropy = f"""list_max(list_transform(range(1, len({word}) - {WINDOW} + 2), lambda i: list_sum(list_transform(list_distinct(string_split(substring({word}, i, {WINDOW}), '')),
-        lambda ch: -1.0 * (len(list_filter(string_split(substring({word}, i, {WINDOW}), ''), lambda z: z = ch)) / {WINDOW}.0) * log2(len(list_filter(string_split(substring({word}, i, {WINDOW}), ''), lambda z: z = ch)) / {WINDOW}.0)))))"""
+    quoted = lambda p: p.replace("'", "''")
+    limit = f"case when regexp_matches(p, '^[0-9a-fA-F]+$') then {LIMITS['hex']} when regexp_matches(p, '^[0-9A-Za-z]+$') then {LIMITS['alnum']} else {LIMITS['all']} end"
+    window = f"string_split(substring(p, i, {WINDOW}), '')"
+    entropy = f"""list_max(list_transform(range(1, len(p) - {WINDOW} + 2), lambda i: list_sum(list_transform(list_distinct({window}),
+        lambda ch: -1.0 * (len(list_filter({window}, lambda z: z = ch)) / {WINDOW}.0) * log2(len(list_filter({window}, lambda z: z = ch)) / {WINDOW}.0)))))"""
     joined = "coalesce(array_to_string(list_transform({0}, lambda s: s.kind || ':' || s.start || ':' || s.stop), ','), '')"
     return f"""
     with d as (select row_number() over () as row_id, doc_id, coalesce(text, '') as t from documents),
     found as (select row_id, doc_id, t, coalesce({_sql_found('assign', ASSIGN, 2, 6)}, []) as a, coalesce({_sql_found('access', ACCESS, 0, 0)}, []) as k,
         coalesce({_sql_found('hex', HEX, 0, 0)}, []) as h, coalesce({_sql_found('entropy', CANDIDATE, 0, 0)}, []) as c from d),
     cand as (select row_id, t, list_concat(list_concat(a, k), h) as base, unnest(c) as c from found),
-    picked as (select row_id, list(c) as e from cand where regexp_matches({word}, '[0-9]') and not regexp_matches({word}, '{allowed}')
-        and len(list_filter(base, lambda b: b.start <= c.start and b.stop >= c.stop)) = 0 and {entropy} >= {limit} group by row_id),
+    asked as (select row_id, c, {word} as w from cand where regexp_matches({word}, '[0-9]') and not regexp_matches({word}, '{quoted(ALLOWED_WHOLE)}')
+        and len(list_filter(base, lambda b: b.start <= c.start and b.stop >= c.stop)) = 0),
+    pieces as (select row_id, c, unnest(regexp_split_to_array(w, '{quoted(ALLOWED_PIECE)}')) as p from asked),
+    hits as (select distinct row_id, c from pieces where len(p) >= {WINDOW} and not regexp_matches(p, '{quoted(ALLOWED_WHOLE)}') and {entropy} >= {limit}),
+    picked as (select row_id, list(c) as e from hits group by row_id),
     spans as (select doc_id, a, k, h, list_sort(list_concat(list_concat(a, k), h)) as base, list_sort(list_concat(list_concat(list_concat(a, k), h), coalesce(e, []))) as every from found left join picked using (row_id))
     select doc_id, len(a)::bigint as n_assign, len(k)::bigint as n_access, len(h)::bigint as n_hex, sha256({joined.format('base')}) as base_sha256, {joined.format('every')} as spans from spans"""

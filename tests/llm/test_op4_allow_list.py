@@ -23,3 +23,39 @@ def test_keys_with_prefixes_and_allowed_words_inside_are_found(spark):
     rows = [(i, f"see {k} now") for i, k in enumerate(KEYS + CLEAR)]
     got = {r["doc_id"]: [(s["kind"], s["start"], s["stop"]) for s in r["spans"]] for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: [("entropy", 4, 4 + len(k))] if i < len(KEYS) else [] for i, k in enumerate(KEYS + CLEAR)}
+
+
+def test_long_candidates_cost_in_proportion_to_their_length(spark):
+    from random import Random
+    from time import time
+
+    from muster.llm.op4_secrets import ALPHABET
+
+    rng = Random(5)
+    rows = spark.createDataFrame([(i, "".join(rng.choices(ALPHABET, k=n))) for i, n in enumerate((200, 100_000))], "doc_id long, text string")
+    find_secrets(rows.limit(1)).collect()
+    began = time()
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["stop"]) for s in r["spans"]] for r in find_secrets(rows).collect()}
+    assert time() - began < 20 and got == {0: [("entropy", 0, 200)], 1: [("entropy", 0, 100_000)]}
+
+
+def test_window_entropy_equals_a_count_of_every_window(spark):
+    from collections import Counter
+    from math import log2
+    from random import Random
+
+    from pyspark.sql import functions as F
+
+    from muster.llm.op4_secrets import ALPHABET, best_window_entropy
+
+    rng = Random(6)
+    words = ["".join(rng.choices(ALPHABET[:k], k=n)) for k in (1, 2, 7, 67) for n in (20, 21, 41, 150)]
+    for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", best_window_entropy(F.col("w")).alias("e")).collect():
+        windows = [Counter(r["w"][i : i + 20]).values() for i in range(len(r["w"]) - 19)]
+        assert abs(r["e"] - max(-sum(c / 20 * log2(c / 20) for c in w) for w in windows)) < 1e-9
+
+
+def test_repeated_rows_nulls_and_empty_tables(spark):
+    rows = spark.createDataFrame([(1, "token = abcdef1"), (1, "token = abcdef1"), (None, None), (2, "")], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, len(r["spans"])) for r in find_secrets(rows).collect()) == [(0, 0), (1, 1), (1, 1), (2, 0)]
+    assert find_secrets(rows.limit(0)).count() == 0
