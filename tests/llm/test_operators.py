@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from muster.llm import op4_secrets, op6_quality, op9_url_filter
 from muster.llm.op1_sharding import Sketch, op1_sharding, shard_documents
 from muster.llm.op2_simhash import codewords, fingerprint, near_duplicates
 from muster.llm.op3_bpe import encode_documents, vocabulary_path
-from muster.llm.op5_language_model import score_documents, tokens
+from muster.llm.op5_language_model import score_documents
 from muster.llm.op7_decontaminate import find_leaks
 from muster.llm.op8_substrings import remove_repeats
 from muster.llm.op10_lines import dedup_lines
@@ -112,6 +113,12 @@ def test_entropy_finds_what_patterns_miss_and_allows_known_forms(spark):
     assert got == {1: [("entropy", 4, 24)], 2: [], 3: [], 4: [], 5: [("assign", 0, 32), ("hex", 8, 32)]}
 
 
+def tokens(text):
+    """Words in lower case (A-Z) and the end."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in words] + [""]
+
+
 def test_language_model(docs, texts):
     rows = {r["doc_id"]: r for r in score_documents(docs).collect()}
     counts = Counter(t for i, x in texts.items() if zlib.crc32(str(i).encode()) % 5 != 1 for t in tokens(x))
