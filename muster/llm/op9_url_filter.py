@@ -11,7 +11,7 @@ shuffle, where AQE splits a hot host on the side of the captures, and a left out
 
 Nulls: a null or unparsable URL has no host and gets verdict ``pass`` with null level; so has a null fetch time. Entries
 with null key or time are ignored. Of entries of one key at one time, block wins over allow over none. Repeated captures
-are kept. Empty tables: no captures give no rows, no entries give ``pass``. Other columns are ignored.
+are kept. Empty tables: no captures give no rows, no entries give ``pass``. Other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -44,26 +44,25 @@ def validity(entries: DataFrame) -> DataFrame:
 
 
 def apply_lists(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at", most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """``captures`` with host, verdict (block or pass), level, list_key and listed_since of the entry that decided."""
+    """``captures`` with host, verdict (block or pass), level, list_key and listed_since of the entry that decided; these replace
+    columns of the same names."""
     spans = validity(entries)
     small = entries.limit(most_broadcast + 1).count() <= most_broadcast
-    out = captures
-    for level, key in url_keys(F.col(url_col)).items():
-        out = out.withColumn(f"_{level}", key)
+    row = F.struct(*(F.col(f"`{c}`") for c in captures.columns)).alias("row")
+    out = captures.select(row, F.col(time_col).alias("at"), *(key.alias(level) for level, key in url_keys(F.col(url_col)).items()))
     for level in LEVELS:
-        side = spans.filter(F.col("level") == level).select(F.col("key").alias(f"_{level}"), F.col("action").alias(f"_{level}_action"), F.col("since").alias(f"_{level}_since"), F.col("until").alias("_until"))
-        left = out.alias("c")
+        side = spans.filter(F.col("level") == level).select("key", "action", "since", "until")
         side = (F.broadcast(side) if small else side).alias("e")
-        at = F.col(f"c.{time_col}")
-        match = (F.col(f"c._{level}") == F.col(f"e._{level}")) & (at >= F.col(f"e._{level}_since")) & (F.col("e._until").isNull() | (at < F.col("e._until")))
-        out = left.join(side, match, "left").select("c.*", f"e._{level}_action", f"e._{level}_since")
+        match = (F.col(f"c.{level}") == F.col("e.key")) & (F.col("c.at") >= F.col("e.since")) & (F.col("e.until").isNull() | (F.col("c.at") < F.col("e.until")))
+        out = out.alias("c").join(side, match, "left").select("c.*", F.col("e.action").alias(f"{level}_action"), F.col("e.since").alias(f"{level}_since"))
     decided = F.lit(None)
     for level in reversed(LEVELS):
-        hit = F.struct(F.lit(level).alias("level"), F.col(f"_{level}").alias("key"), F.col(f"_{level}_action").alias("action"), F.col(f"_{level}_since").alias("since"))
-        decided = F.when(F.coalesce(F.col(f"_{level}_action"), F.lit("none")) != "none", hit).otherwise(decided)
-    out = out.withColumn("_d", decided)
-    verdict = F.when(F.col("_d.action") == "block", "block").otherwise("pass")
-    return out.select(*captures.columns, F.col("_host").alias("host"), verdict.alias("verdict"), F.col("_d.level").alias("level"), F.col("_d.key").alias("list_key"), F.col("_d.since").alias("listed_since"))
+        hit = F.struct(F.lit(level).alias("level"), F.col(level).alias("key"), F.col(f"{level}_action").alias("action"), F.col(f"{level}_since").alias("since"))
+        decided = F.when(F.coalesce(F.col(f"{level}_action"), F.lit("none")) != "none", hit).otherwise(decided)
+    out = out.withColumn("decided", decided)
+    verdict = F.when(F.col("decided.action") == "block", "block").otherwise("pass")
+    own = {"host": F.col("host"), "verdict": verdict, "level": F.col("decided.level"), "list_key": F.col("decided.key"), "listed_since": F.col("decided.since")}
+    return out.select(*(F.col("row").getField(c).alias(c) for c in captures.columns if c not in own), *(c.alias(name) for name, c in own.items()))
 
 
 def _bucket(key: Column) -> Column:
