@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 #: A key with at least this share of all rows is joined by broadcast; at most 1 / HEAVY_SHARE keys can have it.
 HEAVY_SHARE = 1 / 1024
 
+#: Bits of the map that tells which hashed keys are asked for; as a table it has 2**20 rows at most.
+MAP_BITS = 26
+
 #: Word pattern of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -137,6 +140,18 @@ def join_to_key(rows: DataFrame, keys: DataFrame, key: str | list[str], weight:
     return rows.join(hot, key).unionByName(rows.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(cold, key))
 
 
+def narrowed(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` (a long, evenly hashed) isn't among the keys of ``wanted``, before a join.
+
+    The keys asked for are marked in a bit map of fixed size, which is broadcast; rows share a bit by chance, so a join must
+    follow. With many more keys than bits nothing is lost, the join just shuffles more."""
+    spot = F.pmod(key, F.lit(1 << MAP_BITS))
+    word = F.shiftright(spot, 6).cast("int")
+    bits = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))).alias("_bits"))
+    marked = rows.withColumn("_word", word).join(F.broadcast(bits), "_word")
+    return marked.filter(F.getbit("_bits", (spot % 64).cast("int")) == 1).select(*rows.columns)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph of long ids: one row (node, component) per node with an edge;
     component is the smallest id reachable. Alternates large-star and small-star steps until nothing changes;
@@ -165,3 +180,33 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
 
 def _fingerprint(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1_000_003)))).first())
+
+
+def near_groups(dealt: DataFrame, total: int, close: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """(node, component) of nodes that verified links join.
+
+    ``dealt``: (key, id, keys, size), one row for each of a node's ``keys``; nodes with a common key are candidates.
+    ``close(a, b)``: of two sizes, whether the nodes can be near at all. ``verify``: of stored pairs (a, b), those that are.
+
+    Large families aren't expanded into pairs: each node is first compared with the smallest id of each of its keys, then
+    pairs of different groups are looked for, each at the first key that it shares. No candidate between groups is lost."""
+    plain = dealt.select("key", "id", "size")
+    buckets = plain.groupBy("key").agg(F.min(F.struct("id", "size")).alias("hub"), F.count("*").alias("members")).filter("members > 1")
+    buckets = stored(buckets.select("key", F.col("hub.id").alias("hub"), F.col("hub.size").alias("hub_size"), "members"), f"{label}-buckets")
+    shared = stored(join_to_key(narrowed(plain, "key", buckets), buckets, "key", "members", total), f"{label}-shared")
+    stars = shared.filter(close("size", "hub_size") & (F.col("hub") != F.col("id"))).select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    stars = stored(stars.distinct(), f"{label}-stars")
+    sure = stored(verify(stars), f"{label}-links")
+    first = components(sure).withColumnRenamed("node", "id")
+    rows = shared.filter("members > 2").select("key", "id", "size").join(first, "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
+    rows = stored(rows, f"{label}-rows")
+    mixed = rows.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count("*").alias("members")).filter("low < high").select("key", "members")
+    mixed = stored(join_to_key(rows, stored(mixed, f"{label}-mixed-keys"), "key", "members", total).drop("members"), f"{label}-mixed-rows")
+    ids = stored(mixed.select("id").distinct(), f"{label}-ids")
+    mixed = stored(mixed.join(dealt.select("id", "keys").join(ids, "id", "left_semi").dropDuplicates(["id"]), "id"), f"{label}-mixed")
+    a, b = mixed.alias("a"), mixed.alias("b")
+    first_shared = F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")
+    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.g") < F.col("b.g")) & close("a.size", "b.size") & first_shared
+    pairs = a.join(b, near).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
+    rest = stored(pairs.join(stars, ["a", "b"], "left_anti"), f"{label}-pairs")
+    return components(sure.unionByName(verify(rest)))
