@@ -31,12 +31,22 @@ from muster.llm.common import WORD, per_batch, table
 WORDS = re.compile(WORD)
 SYMBOLS = "#*$%&|<>"
 HAS_SYMBOL = re.compile(r"[#*$%&|<>]")
-#: Phrases of legal notes and page furniture, and words of menus; compared in lower case.
+#: Phrases of legal notes and page furniture, and words of menus, in four languages; compared in lower case. (Fixed values.)
 BOILERPLATE = (
     "all rights reserved", "accept cookies", "cookie policy", "privacy policy", "terms of service", "terms of use", "subscribe to our newsletter", "javascript is disabled", "enable javascript",
     "click here", "lorem ipsum", "powered by", "sign up for",
+    "tous droits réservés", "accepter les cookies", "politique de confidentialité", "conditions d’utilisation", "conditions générales", "abonnez-vous à", "cliquez ici",
+    "alle rechte vorbehalten", "cookies akzeptieren", "datenschutzerklärung", "nutzungsbedingungen", "newsletter abonnieren", "hier klicken",
+    "todos los derechos reservados", "aceptar cookies", "política de privacidad", "términos de uso", "condiciones de uso", "suscríbete a", "haga clic aquí",
 )
-MENU = frozenset("home about contact login logout menu search share next previous back top sitemap help faq news shop cart account register subscribe follow tweet print".split())
+MENU = frozenset(
+    (
+        "home about contact login logout menu search share next previous back top sitemap help faq news shop cart account register subscribe follow tweet print "
+        "accueil connexion déconnexion recherche partager suivant précédent retour aide boutique panier compte imprimer "
+        "startseite kontakt anmelden abmelden suche teilen weiter zurück hilfe impressum warenkorb konto drucken "
+        "inicio contacto acceder salir buscar compartir siguiente anterior volver ayuda tienda carrito cuenta imprimir"
+    ).split()
+)
 SEPARATORS = re.compile(r"[\x20\x09-\x0D][|>»•·/][\x20\x09-\x0D]")
 ENDS = (".", "!", "?", "…", "。", '"', "”", "'", ")")
 MOST_LOST = 0.5
@@ -116,9 +126,14 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they are."""
-    verdict = F.pandas_udf(lambda s: s.map(lambda t: judge(t)[6]).astype(bool), "boolean")
-    return docs.filter(verdict(F.col(text_col).cast("string")))
+    """The rows of ``docs`` that are kept, with the text cut to the lines that stay; other columns as they are."""
+
+    def cleaned(texts):
+        return texts.map(lambda t: (lambda found: found[7] if found[6] else None)(judge(t)))
+
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    out = docs.select(row, F.pandas_udf(cleaned, "string")(F.col(text_col).cast("string")).alias("cleaned")).filter(F.col("cleaned").isNotNull())
+    return out.select(*((F.col("cleaned") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
