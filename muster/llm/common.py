@@ -5,9 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from muster.ship import ship
+
 #: A key with at least this share of all rows is joined by broadcast; at most 1 / HEAVY_SHARE keys can have it.
 HEAVY_SHARE = 1 / 1024
 
@@ -46,20 +46,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per Spark context (they may not have it installed)."""
-    context = spark.sparkContext
-    if getattr(context, "_muster_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="muster-")) / "muster_package.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._muster_shipped = True
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -36,10 +36,10 @@ PIECE = re.compile(r"[^\x20\x09-\x0D]+")
 SPLITTER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Most pieces, words and pair verdicts in the younger half of a worker's caches; beyond it, the older half is forgotten.
-REMEMBERED = 180_000
+REMEMBERED = 110_000
 #: Longer pieces aren't remembered.
 LONGEST = 48
-BATCH_CHARS = 5_000_000
+BATCH_CHARS = 2_500_000
 
 
 class Memory(dict):
@@ -241,24 +241,21 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
         gc.disable()  # millions of small objects without cycles
         try:
             for batch in batches:
-                yield from slices(bpe, batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()])
+                ends, at = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy()), 0
+                while at < batch.num_rows:
+                    to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_CHARS, side="right")))
+                    yield coded(bpe, batch.slice(at, to - at))
+                    at = to
         finally:
             gc.enable()
 
-    def slices(bpe: TrieBpe, names: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        at = 0
-        while at < len(texts):
-            to, chars = at, 0
-            while to < len(texts) and (to == at or chars + len(texts[to]) <= BATCH_CHARS):
-                chars += len(texts[to])
-                to += 1
-            coded = bpe.encode(texts[at:to])
-            counts, decimal = np.array([c[0] for c in coded], np.int64), pa.array([c[1] for c in coded], pa.string())
-            if ids == "array":
-                flat = pc.split_pattern(decimal.filter(pa.array(counts > 0)), " ").flatten().cast(pa.int32())
-                decimal = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([pa.array(names[at:to], pa.int64()), pa.array(counts), decimal, pa.array([c[2] for c in coded], pa.string())], schema=arrow)
-            at = to
+    def coded(bpe: TrieBpe, part: pa.RecordBatch) -> pa.RecordBatch:
+        found = bpe.encode([t or "" for t in part.column(1).to_pylist()])
+        counts, decimal = np.array([c[0] for c in found], np.int64), pa.array([c[1] for c in found], pa.string())
+        if ids == "array":
+            flat = pc.split_pattern(decimal.filter(pa.array(counts > 0)), " ").flatten().cast(pa.int32())
+            decimal = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), flat)
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), decimal, pa.array([c[2] for c in found], pa.string())], schema=arrow)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 

@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,15 +127,20 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return per_batch(docs, [F.col(id_col).cast("long"), F.col(text_col).cast("string")], work, schema)
 
 
-def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text", rows: int = 500) -> DataFrame:
     """The rows of ``docs`` that are kept, with the text cut to the lines that stay; other columns as they are."""
-
-    def cleaned(texts):
-        return texts.map(lambda t: (lambda found: found[7] if found[6] else None)(judge(t)))
-
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    out = docs.select(row, F.pandas_udf(cleaned, "string")(F.col(text_col).cast("string")).alias("cleaned")).filter(F.col("cleaned").isNotNull())
-    return out.select(*((F.col("cleaned") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns))
+    docs = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                found = [(v[6], v[7]) for v in map(judge, part.column(at).to_pylist())]
+                kept = part.filter(pa.array([good for good, _ in found], pa.bool_()))
+                yield kept.set_column(at, kept.schema.field(at), pa.array([text for good, text in found if good], kept.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

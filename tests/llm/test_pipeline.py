@@ -1,9 +1,8 @@
 """The five stages against a brute-force version on the smallest tables."""
 
 import itertools
-from collections import Counter
+from collections import Counter, defaultdict
 
-import numpy as np
 import pyarrow.parquet as pq
 import regex
 import xxhash
@@ -12,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from muster.llm import op7_decontaminate as op7
 from muster.llm import op10_lines as op10
-from muster.llm.op2_simhash import fingerprint
+from muster.llm.near_documents import shingle_hashes
 from muster.llm.op3_bpe import vocabulary_path
 from muster.llm.op6_quality import judge
 
@@ -39,24 +38,25 @@ def distance(a, b) -> int:
     return row[-1]
 
 
-def shingles(line: str) -> set[str]:
-    w = line.split(" ")
-    return {" ".join(w[i : i + 5]) for i in range(max(len(w) - 4, 1))}
+def similar(a: str, b: str) -> bool:
+    allowed = int((1 - op10.SIMILARITY) * max(len(a), len(b)) + 1e-9)
+    return abs(len(a) - len(b)) <= allowed and distance(a, b) <= allowed
 
 
-def similar(a: str, b: str) -> bool:
-    longer, shorter = max(len(a), len(b)), min(len(a), len(b))
-    if longer > op10.LONG:
-        x, y = shingles(a), shingles(b)
-        return 2 * shorter >= longer and len(x & y) >= op10.SIMILARITY * len(x | y)
-    x, y = (a, b) if longer <= op10.SHORT else (a.split(" "), b.split(" "))
-    return distance(x, y) <= int((1 - op10.SIMILARITY) * max(len(x), len(y)) + 1e-9)
+def line_keys(line: str) -> set[tuple]:
+    """The lanes that a line can be found by: for each choice of lanes their SimHashes."""
+    ranks = sorted({(127 - min(len(w), 127)) << 56 | xxhash.xxh64_intdigest(w, 42) & (1 << 56) - 1 for w in regex.findall(r"[\p{L}\p{N}]+", line)})[: op10.DEALT]
+    lanes = [[r for r in ranks if r % op10.LANES == k][: op10.TOP] for k in range(op10.LANES)]
 
+    def simhash(lane: list[int]) -> int:
+        return sum(1 << k for k in range(64) if 2 * sum(r >> k & 1 for r in lane) > len(lane))
 
-def line_print(line: str) -> tuple[int, int]:
-    words = [w for w in line.split(" ") if len(w) >= op10.WORD_LENGTH]
-    ones = Counter(k for w in words for h in [xxhash.xxh64_intdigest(w, 42)] for k in range(64) if h >> k & 1)
-    return len(words), sum(1 << k for k, n in ones.items() if 2 * n > len(words))
+    prints, out = [simhash(lane) for lane in lanes], set()
+    for size, (least, most, words) in op10.FORMS.items():
+        for chosen in itertools.combinations(range(op10.LANES), size):
+            if least <= len(ranks) <= most and sum(len(lanes[k]) for k in chosen) >= words:
+                out.add((chosen, *(prints[k] for k in chosen)))
+    return out
 
 
 def without_repeated_lines(texts: dict[int, str]) -> dict[int, str]:
@@ -67,10 +67,13 @@ def without_repeated_lines(texts: dict[int, str]) -> dict[int, str]:
             if regex.search(r"[\p{L}\p{N}]", line):
                 where[d, pos] = norm = regex.sub(r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ", line.lower()).strip(" ")
                 spots.setdefault(norm, (d, pos))
-    prints = {s: fp for s in spots for n, fp in [line_print(s)] if n >= op10.MIN_WORDS}
-    names, fps = list(prints), np.array(list(prints.values()), np.uint64)
-    near = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= op10.RADIUS)
-    edges = [(spots[names[i]], spots[names[j]]) for i, j in near if i < j and similar(names[i], names[j])]
+    holders = defaultdict(list)
+    for s in spots:
+        for k in line_keys(s):
+            holders[k].append(s)
+    pairs = {p for held in holders.values() for p in itertools.combinations(sorted(held), 2)}
+    edges = [(spots[a], spots[b]) for a, b in pairs if similar(a, b)]
+    assert edges
     first = smallest_reachable(list(spots.values()), edges)
     out = {}
     for d, t in texts.items():
@@ -81,28 +84,26 @@ def without_repeated_lines(texts: dict[int, str]) -> dict[int, str]:
 
 
 def one_of_each_group(texts: dict[int, str]) -> dict[int, str]:
-    prints = {i: fingerprint(t) & (2**64 - 1) for i, t in texts.items()}
-    edges = [(a, b) for a, b in itertools.combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 3]
-    return {i: texts[i] for i, c in smallest_reachable(list(prints), edges).items() if i == c}
+    sets = {i: set(shingle_hashes(t).tolist()) for i, t in texts.items()}
+    edges = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return {i: texts[i] for i, c in smallest_reachable(list(sets), edges).items() if i == c}
 
 
 def leaks(text: str, items: list[Counter], lengths: list[int]) -> bool:
     words = op7.words_of(text)
     every = set(op7.shingles_of(words))
     for item, n in zip(items, lengths, strict=True):
-        if not every & item.keys():
-            continue
-        own = op7.packed(op7.signs(list(item.elements())).sum(0, keepdims=True))[0]
-        for at in range(max(1, len(words) - n + 1)):
-            window = Counter(op7.shingles_of(words[at : at + n]))
-            if (window & item).total() >= op7.SIMILARITY * (window | item).total() and np.bitwise_count(op7.packed(op7.signs(list(window.elements())).sum(0, keepdims=True))[0] ^ own) <= op7.RADIUS:
-                return True
+        if every & item.keys():
+            for at in range(max(1, len(words) - n + 1)):
+                window = Counter(op7.shingles_of(words[at : at + n]))
+                if (window & item).total() >= op7.SIMILARITY * (window | item).total():
+                    return True
     return False
 
 
 def test_pipeline_equals_brute_force(spark):
     rows = pq.read_table(f"{SF}/documents.parquet").to_pylist()
-    texts = {r["doc_id"]: r["text"] or "" for r in rows if judge(r["text"])[6]}
+    texts = {r["doc_id"]: judge(r["text"])[7] for r in rows if judge(r["text"])[6]}
     texts = one_of_each_group(without_repeated_lines(texts))
     bench = [op7.words_of(r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()]
     items, lengths = [Counter(op7.shingles_of(w)) for w in bench if w], [len(w) for w in bench if w]
@@ -116,3 +117,23 @@ def test_pipeline_equals_brute_force(spark):
     assert sorted(got) == sorted(want)
     assert got == want
     assert len(want) < len(rows)
+
+
+ODD = [(1, None, "a", 3), (2, "", "b", None), (3, "word " * 9, "c", 1), (None, "A line of its own with several words in it that nobody wrote before. " * 8, "d", 2), (None, "A line of its own with several words in it that nobody wrote before. " * 8, "d", 2)]
+
+
+def test_stages_on_odd_rows(spark):
+    """Null ids and texts, repeated rows and a column named like one of the stages' own."""
+    prose = " ".join(f"Sentence{i} goes{i} onward{i} nicely{i}." for i in range(30))
+    rows = [(i, t, s, n) for i, t, s, n in ODD] + [(7, prose + "\nclick here", "x", 9), (7, prose + "\nclick here", "x", 9), (8, prose.replace("Sentence3 ", "Sentence3x "), "y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string, n_chars long")
+    good = corpus_pipeline.quality(spark, docs, SF)
+    assert good.columns == docs.columns and {(r["doc_id"], r["text"], r["n_chars"]) for r in good.collect()} == {(7, prose, len(prose)), (8, rows[-1][1], len(rows[-1][1]))}
+    near = corpus_pipeline.near_dedup(spark, good, SF)
+    assert [r["doc_id"] for r in near.collect()] == [7]
+    alone = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+    assert sorted(str(r["doc_id"]) for r in alone) == ["1", "3", "7", "None"] or sorted(str(r["doc_id"]) for r in alone) == ["1", "3", "7", "8", "None"]
+    cut = corpus_pipeline.line_dedup(spark, docs, SF)
+    assert cut.columns == docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
