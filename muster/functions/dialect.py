@@ -7,6 +7,10 @@ import re
 #: Distinct trigrams of a text in lower case, padded by two spaces before and one behind.
 _TRI = ("array_distinct(transform(sequence(1, length({0}) + 1), i -> substr(concat('  ', lower({0}), ' '), i, 3)))", "list_distinct(list_transform(range(1, length({0}) + 2), lambda i: substr(concat('  ', lower({0}), ' '), i, 3)))")
 
+#: Unicode's white space at the beginning or end of a text. (Fixed values; no braces, which would name a table.)
+_SPACE = r"[\x09-\x0D " + "\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+_SPACES = f"^{_SPACE}|{_SPACE}$"
+
 #: name -> (Spark, DuckDB); each is a function of its arguments.
 _FORMS = {
     "json": (lambda c, k: f"get_json_object({c}, '$.{k}')", lambda c, k: f"json_extract_string({c}, '$.{k}')"),
@@ -22,6 +26,7 @@ _FORMS = {
     "array": (lambda *x: f"array({', '.join(x)})", lambda *x: f"[{', '.join(x)}]"),
     "ntri": (lambda c: f"size({_TRI[0].format(c)})", lambda c: f"len({_TRI[1].format(c)})"),
     "both": (lambda a, b: f"size(array_intersect({_TRI[0].format(a)}, {_TRI[0].format(b)}))", lambda a, b: f"len(list_intersect({_TRI[1].format(a)}, {_TRI[1].format(b)}))"),
+    "bare": (lambda c: f"regexp_replace({c}, r'{_SPACES}', '')", lambda c: f"regexp_replace({c}, '{_SPACES}', '', 'g')"),
     "digits": (lambda c: f"try_cast({c} as decimal(38,0))", lambda c: f"try_cast({c} as decimal(38,0))"),
 }
 

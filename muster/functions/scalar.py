@@ -18,7 +18,7 @@ def column(expression: str) -> Column:
 
 def address(c: str) -> str:
     """S-ADDR: a 20-byte hex address in lower case, else null."""
-    t = f"lower(trim({c}))"
+    t = f"lower($[bare|{c}])"
     return f"case when length({t}) = 42 and substr({t}, 1, 2) = '0x' and translate(substr({t}, 3), '0123456789abcdef', '') = '' then {t} end"
 
 
@@ -68,8 +68,15 @@ def network(c: str) -> str:
 
 
 def cents(amount: str, decimals: int = 6) -> str:
-    """S-CENTS: whole cents, rounded up; null where the amount is no number."""
-    return f"cast(ceil($[digits|{amount}] * 100 / {10**decimals}) as bigint)"
+    """S-CENTS: whole cents, rounded up, of an amount of atomic units (two decimals or more); null where it isn't all digits, is no
+    unsigned number of 128 bits, or the cents are none of 64."""
+    own = f"case when trim(leading '0' from {amount}) = '' then '0' else trim(leading '0' from {amount}) end"
+    places = decimals - 2
+    whole = f"case when length({own}) > {places} then substr({own}, 1, length({own}) - {places}) else '0' end"
+    rest = f"case when length({own}) > {places} then substr({own}, length({own}) - {places - 1}) else {own} end"
+    value = f"(cast({whole} as decimal(38,0)) + case when translate({rest}, '0', '') = '' then 0 else 1 end)"
+    fits = f"(length({own}) < 39 or (length({own}) = 39 and {own} <= '{(1 << 128) // 100}'))"
+    return f"case when {amount} is null or {amount} = '' or translate({amount}, '0123456789', '') <> '' or not {fits} then null when length({whole}) > 20 then null when {value} > {(1 << 64) - 1} then null else cast({value} as decimal(20,0)) end"
 
 
 def same_address(a: str, b: str) -> str:

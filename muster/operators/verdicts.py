@@ -24,7 +24,7 @@ def _resolve(scheme: str, code: str, error: str, words: dict[str, str]) -> str:
     w = {k: f"'{v}'" if v else "null" for k, v in words.items()}
     return f"""case when {scheme} = 'empty' then {w['empty']} when {scheme} = 'unsupported' then {w['unsupported']}
         when {scheme} = 'data' and {error} is not null then {w['bad_data']} when {scheme} = 'data' then {w['pass']}
-        when {error} like 'robots_%' then {w['robots']} when {error} like 'ssrf_blocked: %' then {w['ssrf']} when {error} is not null then {w['error']}
+        when left({error}, 7) = 'robots_' then {w['robots']} when left({error}, 14) = 'ssrf_blocked: ' then {w['ssrf']} when {error} is not null then {w['error']}
         when {code} between 200 and 299 then {w['pass']} when {code} = {PAYMENT} then {w['payment']} when {code} in ({_CODES}) then {w['declined']}
         when {code} is not null then {w['http']} else {w['nothing']} end"""
 
@@ -42,7 +42,7 @@ def resolvable_reason(scheme: str, code: str, error: str) -> str:
 
 def rejudged(status: str, code: str, error: str) -> str:
     """VRD-10: rows of an older rule, where declined codes were failures and robots were errors."""
-    return f"case when {status} = 'fail' and {code} in ({_CODES}, {PAYMENT}) then 'refused' when {status} = 'error' and {error} like 'robots_%' then 'refused' else {status} end"
+    return f"case when {status} = 'fail' and {code} in ({_CODES}, {PAYMENT}) then 'refused' when {status} = 'error' and left({error}, 7) = 'robots_' then 'refused' else {status} end"
 
 
 def attested(registry: str, authors: str) -> str:
@@ -51,13 +51,13 @@ def attested(registry: str, authors: str) -> str:
 
 
 def stopper(rung: int, status: dict[int, str]) -> str:
-    """VRD-8: the rung by which ``rung`` is stopped, the first one on the way down that was not passed; null if none.
-    A rung without a row stops nothing."""
-    path, at = [], rung
-    while at in PARENT:
-        at = PARENT[at]
-        path.append(at)
-    return "case " + " ".join(f"when {status[r]} is not null and {status[r]} <> 'pass' then {r}" for r in reversed(path)) + " end" if path else "cast(null as int)"
+    """VRD-8: the rung by which ``rung`` is stopped; null if none. It is the parent's own stopper, else the parent if that didn't
+    pass. A parent without a row stops nothing, and hides what is above it."""
+    if rung not in PARENT:
+        return "cast(null as int)"
+    parent = PARENT[rung]
+    above = stopper(parent, status)
+    return f"case when {status[parent]} is null then null when {above} is not null then {above} when {status[parent]} <> 'pass' then {parent} end"
 
 
 def laddered(rung: int, status: dict[int, str]) -> str:

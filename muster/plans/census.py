@@ -43,10 +43,6 @@ QUERIES: dict[str, tuple[str, str]] = {
     "registered": ("snapshots", f"select run_no, agent_id, {verdicts.registered(f'''case when owner = 0 then '{scalar.ZERO}' else 'owner' end''')} as status from snapshots"),
     "resolvable": ("answers", f"select page_id, {verdicts.resolvable('scheme', 'code', 'error')} as status, {verdicts.resolvable_reason('scheme', 'code', 'error')} as reason from answers"),
     "rejudge_refused": ("answers", f"select cast(code as varchar(5)) as code, error, case when code = 200 then 'pass' when error is not null then 'error' else 'fail' end as old_status, {verdicts.rejudged('''(case when code = 200 then 'pass' when error is not null then 'error' else 'fail' end)''', 'code', 'error')} as new_status, count(*) as n from answers group by 1, 2, 3, 4"),
-    "conformant_gaps": ("files gaps", "select p_partkey, signature from gaps"),
-    "conformant_must": ("files", "select p_partkey, case when claimed_id is null and chain = 0 then 'both' when claimed_id is null then 'agentId' when chain = 0 then 'agentRegistry' else 'none' end as missing, case when claimed_id is null or chain = 0 then 'fail' else 'pass' end as status from files"),
-    "bound_best_entry": ("files", """select p_partkey, case when claimed_id is null then 'unclaimed' when score = 4 then 'pass' else 'fail' end as status, entry from (select *, row_number() over (partition by p_partkey order by score desc, entry) as rn from (
-        select p_partkey, claimed_id, i as entry, (case when claimed_id = actual_id then 1 else 0 end) + (case when (chain + i) % 2 = 0 then 1 else 0 end) + (case when (chain + i) % 3 = 0 then 1 else 0 end) + 1 as score from files cross join (select 0 as i union all select 1 union all select 2) e) y) x where rn = 1"""),
     "endpoint_kind": ("listings", f"select page_id, {scalar.endpoint_kind('''case page_id % 6 when 0 then resource when 1 then 'mailto:a@b.c' when 2 then 'eip155:1:0xab' when 3 then null when 4 then ' ' else 'x@y.z' end''')} as kind from listings"),
     "uri_scheme": ("listings", f"select page_id, {scalar.uri_scheme('''case page_id % 5 when 0 then resource when 1 then 'ipfs://abc/x' when 2 then 'data:,x' when 3 then '' else 'ftp://x' end''')} as scheme from listings"),
     "live_verdict": ("answers", f"select page_id % 40 as agent, {verdicts.live('''count(*) filter (where scheme = 'http')''', '''count(*) filter (where scheme = 'http' and page_id % 4 > 0)''', 'count(*) filter (where code between 200 and 299 or code = 402)', 'count(*) filter (where code = 404)', 'count(*) filter (where code = 429)')} as status from answers group by page_id % 40"),
@@ -100,8 +96,6 @@ QUERIES: dict[str, tuple[str, str]] = {
     "seller_exclusive": ("listings", "select payee, min(catalog) as catalog from listings group by payee having count(distinct catalog) = 1"),
     "seller_reachable": ("answers", f"select page_id, {verdicts.seller_reachable('permitted', 'error', 'coalesce(code, 200)')} as reachable, {verdicts.seller_quotes('permitted', 'error', 'coalesce(code, 200)', 'has_body')} as quotes from answers"),
     "seller_settled": ("transfers", f"select payee, {verdicts.settled('count(*) filter (where payer % 7 > 0 and payer <> payee)')} as status, count(*) filter (where payer % 7 > 0 and payer <> payee) as payments, count(distinct case when payer % 7 > 0 and payer <> payee then payer end) as payers, count(*) filter (where payer % 7 = 0) as excluded_ours, count(*) filter (where payer % 7 > 0 and payer = payee) as excluded_self, min(case when payer % 7 > 0 and payer <> payee then block end) as first_block from transfers group by payee"),
-    "seller_consistent": ("listings", "select page_id, case when amount is null then 'unprobed' when best = 3 then 'pass' else 'fail' end as status, entry from (select *, row_number() over (partition by page_id order by best desc, entry desc) as rn from (select page_id, amount, i as entry, 2 * (case when (page_id + i) % 3 = 0 then 1 else 0 end) + (case when (page_id + i) % 2 = 0 then 1 else 0 end) as best from listings cross join (select 0 as i union all select 1 union all select 2) e) y) x where rn = 1"),
-    "shop_decide": ("listings", f"select payee, case when count(amount) = 0 then 'unpriced' when min(cents) <= 10 then 'buy' else 'over_cap' end as decision, min(cents) as cents from (select payee, amount, {scalar.cents('cast(amount * 4321 as varchar(20))')} as cents from listings) x group by payee"),
     "seller_network_canon": ("listings", f"select page_id, {scalar.network('''case page_id % 5 when 0 then 'Base' when 1 then 'EIP155:8453' when 2 then ' solana ' when 3 then 'base-sepolia' else 'Other' end''')} as network from listings"),
     "seller_scope": ("listings", "select catalog, count(*) filter (where page_id % 5 < 2) as in_scope, count(*) filter (where page_id % 5 >= 2) as out_of_scope from listings group by catalog"),
     "addresses": ("listings", f"select page_id, {scalar.address('''case page_id % 3 when 0 then ' 0XABCDEFabcdef0123456789abcdefABCDEF01234567 ' when 1 then '0x12' else null end''')} as address from listings"),
@@ -133,19 +127,44 @@ QUERIES: dict[str, tuple[str, str]] = {
     "rungs_attempted": ("checks", "select run_no, $[set|rung] as rungs from checks group by run_no"),
     "stream_dedup_batch": ("", "select user_id, event_type, count(*) as n from (select distinct user_id, event_type, cast(ts as date) as d from {events}) x group by user_id, event_type"),
 }
+def _ladder_oracle() -> str:
+    """The ladder walked from rung 1 up, one step a query: k{r} is what stops a dependent of r (nothing where r has no row)."""
+    sql, at = ", s1 as (select *, case when r1 <> 'pass' then 1 end as k1, r1 as l1, cast(null as int) as stop1 from wide)", "s1"
+    for r in range(2, 8):
+        up = f"k{verdicts.PARENT[r]}"
+        sql += f", s{r} as (select *, case when r{r} is null then null when {up} is not null then {up} when r{r} <> 'pass' then {r} end as k{r}, case when r{r} is not null and {up} is not null then 'skipped' else r{r} end as l{r}, {up} as stop{r} from {at})"
+        at = f"s{r}"
+    return sql
+
+
+#: DuckDB texts written from the rule instead of the Spark text.
+ORACLES = {
+    "ladder_propagation": _ladder_oracle() + " select run_no, agent_id, " + ", ".join(f"l{r}, cast(stop{r} as varchar) as stop{r}" for r in range(1, 8)) + " from s7",
+    "ladder_counts": _ladder_oracle() + " select run_no, " + ", ".join(f"count(*) filter (where l{r} = 'skipped') as skipped{r}" for r in range(2, 8)) + " from s7 group by run_no",
+}
 TABLES = re.compile(r"\{(\w+)\}")
 
 
+def full_text(body: str, needs: str, duck: bool) -> str:
+    """A query with the views that it needs before it; tables are {name} for Spark and bare for DuckDB."""
+    parts = [f"{v} as ({VIEWS[v].replace('$HOST', scalar.host('url'))})" for v in needs.split()]
+    sql = write(("with " + ", ".join(parts) if parts else "") + (body if body.startswith(", ") else " " + body), duck)
+    return TABLES.sub(r"\1", sql) if duck else sql
+
+
 def text(name: str, duck: bool) -> str:
-    """The query's full SQL in one dialect; tables are {name} for Spark and bare for DuckDB."""
+    """The query's full SQL in one dialect."""
     needs, body = QUERIES[name]
-    parts = [f"{v} as ({VIEWS[v].replace('$HOST', scalar.host('url'))})" for v in needs.split()]
-    sql = ("with " + ", ".join(parts) if parts else "") + (body if body.startswith(", ") else " " + body)
-    if duck:
-        return TABLES.sub(r"\1", write(sql, True))
-    return write(sql, False)
+    if duck and name in ORACLES:
+        return full_text(ORACLES[name], needs, True)
+    return full_text(body, needs, duck)
 
 
-def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql = text(name, False)
+def run_text(body: str, needs: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = full_text(body, needs, False)
     return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in set(TABLES.findall(sql))})
+
+
+def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    needs, body = QUERIES[name]
+    return run_text(body, needs, spark, sf_dir)
