@@ -27,6 +27,7 @@ _FORMS = {
     "ntri": (lambda c: f"size({_TRI[0].format(c)})", lambda c: f"len({_TRI[1].format(c)})"),
     "both": (lambda a, b: f"size(array_intersect({_TRI[0].format(a)}, {_TRI[0].format(b)}))", lambda a, b: f"len(list_intersect({_TRI[1].format(a)}, {_TRI[1].format(b)}))"),
     "bare": (lambda c: f"regexp_replace({c}, r'{_SPACES}', '')", lambda c: f"regexp_replace({c}, '{_SPACES}', '', 'g')"),
+    "text": (lambda c: f"cast({c} as string)", lambda c: f"cast({c} as varchar)"),
     "digits": (lambda c: f"try_cast({c} as decimal(38,0))", lambda c: f"try_cast({c} as decimal(38,0))"),
 }
 

@@ -16,7 +16,7 @@ _PCT = "round(cast({0} as double) * 100.0 / nullif({1}, 0), 6)"
 _FINDINGS = """f as (select w.run_no, count(*) filter (where r4 is not null and r4 <> 'skipped') as d1, count(*) filter (where r4 is not null and r4 <> 'skipped' and cast($[json|e4|k] as int) % 3 = 0) as n1,
     count(*) filter (where r4 = 'pass') as d2, count(*) filter (where r5 = 'refused') as n2, count(*) filter (where r7 = 'pass') as n3,
     count(*) filter (where r7 = 'pass' and r2 is not null) as d4, count(*) filter (where r7 = 'pass' and r2 = 'pass') as n4, count(*) filter (where r7 <> 'pass' and r2 is not null) as d5, count(*) filter (where r7 <> 'pass' and r2 = 'pass') as n5
-    from wide w left join (select run_no, agent_id, evidence as e4 from checks where rung = 4) e on w.run_no = e.run_no and w.agent_id = e.agent_id group by w.run_no),
+    from wide w group by w.run_no),
     s as (select run_no, count(*) as d3 from snapshots group by run_no),
     findings as (select run_no, 'services_absent_or_empty' as k, n1 as num, d1 as den from f union all select run_no, 'registration_unclaimed', n2, d2 from f union all select f.run_no, 'attested', n3, d3 from f join s on f.run_no = s.run_no
         union all select run_no, 'attested_resolvable', n4, d4 from f union all select run_no, 'unattested_resolvable', n5, d5 from f)"""
@@ -66,7 +66,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "tail_unswept": ("snapshots", "select t.agent_id, t.owner from snapshots t left join (select agent_id from snapshots where run_no < 2) s on s.agent_id = t.agent_id where t.run_no = 2 and s.agent_id is null"),
     "heartbeat_stale": ("runs", "select chain, max(finished_at) < timestamp '2024-01-25 00:00:00' as stale from runs group by chain"),
     # search
-    "search_tokens_and": ("docs", "select doc_id from docs where $[has|words|'the'] and $[has|words|'of']"),
+    "search_tokens_and": ("docs", "select doc_id from docs where contains(body, 'the') and contains(body, 'of') and $[has|words|'the'] and $[has|words|'of']"),
     "search_owner_prefix": ("docs", "select doc_id, source from docs where left(source, 4) = 'src1'"),
     "search_per_run_top5": ("docs", "select source, doc_id, cast(rn as bigint) as rn from (select source, doc_id, row_number() over (partition by source order by length(name) desc, doc_id) as rn from docs where contains(body, 'la')) x where rn <= 5"),
     "search_totals": ("docs", "select source, count(*) as total from docs where contains(body, 'la') group by source"),
@@ -80,7 +80,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "payment_targets": ("snapshots", f"select run_no, agent_id, {verdicts.payment_target('''case agent_id % 4 when 0 then null when 1 then '0x000000000000000000000000000000000000dEaD' when 2 then 'own' else 'w' end''', '''(case when owner = 1 then 'OWN' else 'other' end)''')} as target from snapshots"),
     "transfer_classify": ("transfers", "select verdict, count(*) as n, cast(sum(value_raw) as bigint) as value_raw from transfers group by verdict"),
     "transfer_rules": ("transfers", f"select {verdicts.exclusion('''(case when l_linenumber % 7 = 6 then 'out' else 'in' end)''', 'cast(payer as varchar(20))', 'cast(payee as varchar(20))', 'cast(agent as varchar(20))', '(case when payee % 31 = 0 then null else mint end)', 'block')} as verdict, count(*) as n from transfers group by 1"),
-    "payment_summary": ("transfers", f", {_PAID} select count(distinct payee) as addresses, count(distinct agent) as agents, count(distinct case when x402 then agent end) as x402_agents, count(*) as n, cast(sum(case when to_contract then value_raw else 0 end) as bigint) as contract_raw, cast(sum(case when to_contract then 0 else value_raw end) as bigint) as eoa_raw, (select count(*) from (select agent from paid group by agent having bool_and(shared)) z) as all_shared from paid"),
+    "payment_summary": ("transfers", f", {_PAID}, g as (select agent, payee, shared, bool_or(x402) as x402, count(*) as n, sum(case when to_contract then value_raw else 0 end) as c, sum(case when to_contract then 0 else value_raw end) as e from paid group by agent, payee, shared) select count(distinct payee) as addresses, count(distinct agent) as agents, count(distinct case when x402 then agent end) as x402_agents, cast(sum(n) as bigint) as n, cast(sum(c) as bigint) as contract_raw, cast(sum(e) as bigint) as eoa_raw, count(distinct agent) - count(distinct case when not shared then agent end) as all_shared from g"),
     "contract_share": ("transfers", f"select agent, case when count(*) filter (where payer % 100 = 0) > 0 then null else {_PCT.format('sum(case when to_contract then value_raw else 0 end)', 'sum(value_raw)')} end as pct from transfers where verdict = 'counted' group by agent"),
     "shared_address_histogram": ("transfers", f", {_PAID} select n_agents, count(*) as addresses from holders group by n_agents"),
     "premint_share": ("transfers", "select payee, bool_and(verdict = 'pre_mint') as all_before, count(*) as n from transfers group by payee"),

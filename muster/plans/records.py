@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions import web
-from muster.operators import documents, sellers
+from muster.operators import documents, ladder, payments, sellers
 from muster.plans import api, census
 from muster.ship import ship
 
@@ -182,6 +182,33 @@ def fnv_host_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.withColumn("place", place).filter("place <= 5").select("host", "url", "fnv", F.col("place").cast("long").alias("place"))
 
 
+# -- payments and ladders ------------------------------------------------------------------------------------------
+
+#: Transfers as rows of agents: every ninth payee belongs to a second agent; senders of some transfers weren't read.
+PAID = """, paid as (select payee % 3 as token, $[text|payee] as address, agent as agent_id, verdict, x402, case when payer % 997 = 0 then null else to_contract end as is_contract, concat($[text|value_raw], '000000000000000000000000') as value_raw from transfers
+    union all select payee % 3, $[text|payee], (payee + 1) % 97, verdict, x402, case when payer % 997 = 0 then null else to_contract end, concat($[text|value_raw], '000000000000000000000000') from transfers where payee % 9 = 0)"""
+#: What was seen of each part's agent.
+SEEN = {
+    "owner": "case when p_partkey % 29 = 0 then concat('0x', repeat('0', 40)) else '0x1' end", "scheme": "case p_partkey % 6 when 0 then 'empty' when 1 then 'data' else 'http' end",
+    "http_status": "case p_partkey % 7 when 0 then 404 when 1 then 402 when 2 then null else 200 end", "error": "case when p_partkey % 31 = 0 then 'timeout' end", "truncated": "p_partkey % 37 = 0", "has_reputation": "p_partkey % 11 > 0",
+}
+
+
+def paid_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = census.run_text(PAID + " select * from paid", "transfers", spark, sf_dir)
+    return payments.summary(rows.withColumn("exclusion", F.when(F.col("verdict") != "counted", F.col("verdict"))), ["token"])
+
+
+def ladder_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    made = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        "p_partkey", "p_partkey % 40 as agent_id", "p_size % 6 as chain_id", f"'{REGISTRY}' as registry", f"encode({BODY}, 'UTF-8') as body", *(f"{e} as {c}" for c, e in SEEN.items()),
+        "case p_partkey % 3 when 0 then array_remove(array(''), '') when 1 then array('A', 'a') else array('A', 'b') end as authors",
+    )
+    out = ladder.assembled(made, ["p_partkey", "agent_id"])
+    return out.select("p_partkey", F.col("rung").cast("long").alias("rung"), "status", F.col("skipped_because_rung").cast("long").alias("because_rung"), F.col("skipped_because_status").alias("because_status"))
+
+
 # -- calls ---------------------------------------------------------------------------------------------------------
 
 
@@ -242,6 +269,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         parseable_flags, conformant_gaps, conformant_must, bound_best_entry, declared_endpoints, live_from_rows, declared_targets, x402_by_wallet, document_shapes, catalog_listings, catalog_pages,
-        seller_quotes, shop_decide, seller_consistent, fnv_host_budget, api_agents_facets, api_agents_search, api_search, api_tail, api_tail_summary, api_delta, api_rates, api_findings,
+        seller_quotes, shop_decide, seller_consistent, fnv_host_budget, paid_summary, ladder_assembly, api_agents_facets, api_agents_search, api_search, api_tail, api_tail_summary, api_delta, api_rates, api_findings,
     )
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from muster.operators.verdicts import DECLINED
+from muster.operators.verdicts import DECLINED, PARENT
 from muster.plans import census
-from muster.plans.records import ANSWER, BODY, ITEM, PROBE, REGISTRY, _PAYEE, _USDC
+from muster.plans.records import ANSWER, BODY, ITEM, PAID, PROBE, REGISTRY, SEEN, _PAYEE, _USDC
 
 _DOCS = f"docs as (select p_partkey, p_partkey % 10 as owner, p_partkey % 40 as actual_id, p_size % 6 as chain, {BODY} as body from part), parsed as (select *, try_cast(body as json) as j from docs), good as (select * from parsed where j is not null)"
 _IS = "coalesce(json_type({0}, '$.{1}'), 'NULL') <> 'NULL'"
@@ -140,3 +140,28 @@ ORACLE_SQL = {
     "api_rates": _call("select rung, string_agg(status || ':' || n, ',' order by status) as statuses from (select rung, status, count(*) as n from checks where run_no = 1 group by 1, 2) group by rung", "checks"),
     "api_findings": _call(_FIND, "checks snapshots"),
 }
+
+
+def _assembly() -> str:
+    """The assembled ladder: every rung judged alone, then walked from rung 1 up."""
+    good = f"judged4 as ({ORACLE_SQL['conformant_must']}), judged5 as ({ORACLE_SQL['bound_best_entry']})"
+    sql = f"""with {good}, seen as (select p_partkey, try_cast({BODY} as json) is not null as parses, {', '.join(f'{e} as {c}' for c, e in SEEN.items())}, p_partkey % 3 > 0 as has_authors from part),
+    s0 as (select p.p_partkey, case when owner = '0x1' then 'pass' else 'fail' end as r1, case when scheme = 'empty' then 'fail' when scheme = 'data' then case when error is null then 'pass' else 'error' end when error is not null then 'error' when http_status = 200 then 'pass' when http_status = 402 then 'refused' when http_status = 404 then 'fail' else 'error' end as r2,
+        case when truncated then 'error' when parses then 'pass' else 'fail' end as r3, coalesce(j4.status, 'pass') as r4, coalesce(j5.status, 'unclaimed') as r5, case when owner = '0x1' then case when not has_reputation then 'error' when has_authors then 'pass' else 'fail' end end as r7 from seen p left join judged4 j4 using (p_partkey) left join judged5 j5 using (p_partkey)),
+    s1 as (select *, case when r1 <> 'pass' then 1 end as k1, r1 as l1, null::int as b1 from s0)"""
+    at = "s1"
+    for r in (2, 3, 4, 5, 7):
+        up = f"k{PARENT[r]}"
+        sql += f", s{r} as (select *, case when r{r} is null then null when {up} is not null then {up} when r{r} <> 'pass' then {r} end as k{r}, case when r{r} is null then null when {up} is not null then 'skipped' else r{r} end as l{r}, case when r{r} is not null then {up} end as b{r} from {at})"
+        at = f"s{r}"
+    word = "case b{0} " + " ".join(f"when {r} then r{r}" for r in (1, 2, 3, 4)) + " end"
+    return sql + " " + " union all ".join(f"select p_partkey, {r}::bigint as rung, l{r} as status, b{r}::bigint as because_rung, {word.format(r)} as because_status from s7 where l{r} is not null" for r in (1, 2, 3, 4, 5, 7))
+
+
+ORACLE_SQL["ladder_assembly"] = _assembly()
+ORACLE_SQL["paid_summary"] = census.full_text(
+    PAID + """, h as (select address, count(distinct agent_id) > 1 as shared from paid group by 1), c as (select * from paid where verdict = 'counted'), a as (select token, agent_id, bool_and(shared) as every from c join h using (address) group by 1, 2),
+    t as (select token, count(distinct address) as addresses, count(distinct agent_id) as agents, count(distinct case when x402 then agent_id end) as x402_agents, count(*) as transfers, count(*) filter (where is_contract) as n_contract, count(*) filter (where not is_contract) as n_eoa, count(*) filter (where is_contract is null) as n_unread,
+        coalesce(sum(value_raw::hugeint) filter (where is_contract), 0)::hugeint as c_, coalesce(sum(value_raw::hugeint) filter (where not is_contract), 0)::hugeint as e_, coalesce(sum(value_raw::hugeint) filter (where is_contract is null), 0)::hugeint as u_ from c group by 1)
+    select token, addresses, agents, x402_agents, transfers, n_contract, n_eoa, n_unread, c_::varchar as value_contract, e_::varchar as value_eoa, u_::varchar as value_unread, (select count(*) from a where a.token = t.token and every) as shared_agents,
+        case when n_unread = 0 then round(c_::double * 100.0 / nullif(c_::double + e_::double, 0), 6) end as contract_pct from t""", "transfers", True)

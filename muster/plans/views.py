@@ -8,7 +8,7 @@ VIEWS = {
         from {events} where day(ts) <= 30) x where rn = 1""",
     "snapshots": "select distinct cast(floor((day(ts) - 1) / 10) as int) as run_no, user_id as agent_id, cast(floor(user_id / 7) as bigint) % 5 as owner from {events} where day(ts) <= 30",
     "runs": "select cast(floor((day(ts) - 1) / 10) as int) as run_no, cast(floor((day(ts) - 1) / 10) as int) % 2 as chain, min(ts) as started_at, max(ts) as finished_at from {events} where day(ts) <= 30 group by cast(floor((day(ts) - 1) / 10) as int)",
-    "wide": "select run_no, agent_id, " + ", ".join(f"max(status) filter (where rung = {r}) as r{r}" for r in range(1, 8)) + " from checks group by run_no, agent_id",
+    "wide": "select run_no, agent_id, " + ", ".join(f"max(status) filter (where rung = {r}) as r{r}" for r in range(1, 8)) + ", max(evidence) filter (where rung = 4) as e4 from checks group by run_no, agent_id",
     "transfers": """select l_orderkey, l_linenumber, l_suppkey as payee, o_custkey as payer, cast(round(l_extendedprice * 100) as bigint) as value_raw, $[days|l_shipdate|1995-01-01] as block,
             365 + l_suppkey % 1500 as mint, l_suppkey % 13 = 0 as to_contract, l_partkey % 5 = 0 as x402, l_suppkey % 97 as agent,
             case when l_suppkey = 0 then 'burn_address' when o_custkey = l_suppkey then 'self_transfer' when c_nationkey = s_nationkey then 'owner_funding'
