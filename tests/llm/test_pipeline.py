@@ -52,9 +52,9 @@ def line_keys(line: str) -> set[tuple]:
         return sum(1 << k for k in range(64) if 2 * sum(r >> k & 1 for r in lane) > len(lane))
 
     prints, out = [simhash(lane) for lane in lanes], set()
-    for size, (least, most, words) in op10.FORMS.items():
+    for size, (least, most, letters) in op10.FORMS.items():
         for chosen in itertools.combinations(range(op10.LANES), size):
-            if least <= len(ranks) <= most and sum(len(lanes[k]) for k in chosen) >= words:
+            if least <= len(ranks) <= most and sum(127 - (r >> 56) for k in chosen for r in lanes[k]) >= letters:
                 out.add((chosen, *(prints[k] for k in chosen)))
     return out
 
