@@ -14,6 +14,7 @@ from muster.llm.op5_language_model import op5_language_model
 from muster.llm.op7_decontaminate import op7_decontaminate
 from muster.llm.op8_substrings import op8_substrings
 from muster.llm.op10_lines import op10_lines
+from muster.llm.op12_alignment import op12_alignment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_url_filter": op9_url_filter.op9_url_filter,
     "op10_lines": op10_lines,
+    "op12_alignment": op12_alignment,
 }
 
 
