@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import op4_secrets, op6_quality, op9_url_filter
+from muster.llm import op4_secrets, op6_quality, op9_url_filter, op13_divergence
 from muster.llm.op1_sharding import op1_sharding
 from muster.llm.op2_simhash import op2_simhash
 from muster.llm.op3_bpe import op3_bpe
@@ -14,6 +14,7 @@ from muster.llm.op5_language_model import op5_language_model
 from muster.llm.op7_decontaminate import op7_decontaminate
 from muster.llm.op8_substrings import op8_substrings
 from muster.llm.op10_lines import op10_lines
+from muster.llm.op11_toxicity import op11_toxicity
 from muster.llm.op12_alignment import op12_alignment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -27,7 +28,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_url_filter": op9_url_filter.op9_url_filter,
     "op10_lines": op10_lines,
+    "op11_toxicity": op11_toxicity,
     "op12_alignment": op12_alignment,
+    "op13_divergence": op13_divergence.op13_divergence,
 }
 
 
@@ -59,4 +62,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_secrets": op4_secrets.oracle(),
     "op6_quality": op6_quality.oracle(),
     "op9_url_filter": op9_url_filter.oracle(),
+    "op13_divergence": op13_divergence.oracle(),
 }
