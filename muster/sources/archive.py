@@ -35,3 +35,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Cut the lineage: write ``df`` in the shared folder and read it again."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

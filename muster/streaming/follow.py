@@ -1,19 +1,25 @@
 """Following a chain: raw events by block with a cursor, and the tail of new ids (STR-1 to STR-7, SNK-4, SNK-6, JN-10, SRC-4, SRC-6).
 
-Events arrive as files (one JSON or Parquet file a block range, or more). A stream reads each file once; ``foreachBatch`` writes
-rows whose key isn't there yet, and then the cursor, so that a batch that is run again after a failure changes nothing.
+Events lie in files; the stream of ``blocks`` goes through them by the heads of the chains. ``foreachBatch`` writes rows whose key
+isn't there yet, and then the cursor.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from muster.ship import ship
+from muster.streaming.blocks import MOST, BlockSource
+
 #: What names an event. (Fixed values.)
 KEY = ["chain", "tx_hash", "log_index"]
+#: Blocks of one partition of the events.
+BUCKET = 100_000
 EVENT = "chain string, tx_hash string, log_index int, block long, event_name string, payload string"
 
 
@@ -22,11 +28,6 @@ def resume_from(cursor: int | None, deploy_block: int) -> int:
     return max(deploy_block, 0) if cursor is None else cursor + 1
 
 
-def settled(events: DataFrame, head: int, confirmations: int) -> DataFrame:
-    """STR-2: events of blocks that are deep enough under the head."""
-    return events.filter(F.col("block") <= head - confirmations)
-
-
 def appended(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """SNK-4: the rows of ``new`` whose key isn't in ``old``, each key once."""
     return new.dropDuplicates(key).join(old.select(*key), key, "left_anti")
@@ -45,39 +46,59 @@ def earliest(events: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 @dataclass
 class Follower:
-    """STR-1, STR-3: events and cursors under ``root``; ``confirmations`` is how deep a block must lie."""
+    """STR-1 to STR-4: events and cursors under ``root``, driven by the heads of the chains.
+
+    ``confirmations``: how deep a block must lie; ``deploy``: the first block of each chain; ``most``: blocks of a batch beyond its first.
+    A batch writes its new events and then its cursors, so that one that is run again after a failure changes nothing. Events lie by
+    chain and bucket of blocks, and a batch is compared with the buckets that it falls into, not with all history."""
 
     spark: SparkSession
     root: str
     confirmations: int = 0
+    deploy: dict[str, int] = field(default_factory=dict)
+    most: int = MOST
 
     def _read(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def events(self) -> DataFrame:
-        """Events of blocks up to the cursor of their chain (those above it are held, and show when the cursor has passed them)."""
-        return self._read("events", EVENT).join(F.broadcast(self.cursors()), "chain").filter(F.col("block") <= F.col("cursor")).drop("cursor")
+        """All events that were written; none lies above its chain's cursor unless its batch was stopped before the cursor."""
+        return self._read("events", f"{EVENT}, bucket long").drop("bucket").join(F.broadcast(self.cursors()), "chain").filter(F.col("block") <= F.col("cursor")).drop("cursor")
 
     def cursors(self) -> DataFrame:
-        """The highest block of each chain that was written whole."""
+        """The highest block of each chain that was read whole."""
         return self._read("cursors", "chain string, cursor long").groupBy("chain").agg(F.max("cursor").alias("cursor"))
 
     def take(self, batch: DataFrame, batch_id: int = 0) -> None:
-        """Write a batch's new events, then how far its chains are settled."""
+        """Write a batch's new events (rows with ``upto`` are marks of ranges that were read), then how far its chains were read."""
         batch = batch.persist()
-        heads = batch.groupBy("chain").agg((F.max("block") - self.confirmations).alias("cursor"))
-        appended(self._read("events", EVENT), batch, KEY).write.mode("append").parquet(f"{self.root}/events")
-        heads.write.mode("append").parquet(f"{self.root}/cursors")
-        batch.unpersist()
-
-    def follow(self, path: str, files_a_batch: int = 1) -> None:
-        """Read what is new under ``path`` and stop; the next call goes on where this one ended."""
-        stream = self.spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files_a_batch).json(path)
-        query = stream.writeStream.foreachBatch(self.take).option("checkpointLocation", f"{self.root}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination()
+        try:
+            bucket = (F.col("block") - F.pmod("block", F.lit(BUCKET))).alias("bucket")
+            rows = batch.filter("upto is null").select(*KEY, "block", "event_name", "payload", bucket)
+            old = self._read("events", f"{EVENT}, bucket long").join(F.broadcast(batch.select("chain", bucket).distinct()), ["chain", "bucket"], "left_semi")
+            appended(old, rows, KEY).write.partitionBy("chain", "bucket").mode("append").parquet(f"{self.root}/events")
+            batch.filter("upto is not null").groupBy("chain").agg(F.max("upto").alias("cursor")).coalesce(1).write.mode("append").parquet(f"{self.root}/cursors")
+        finally:
+            batch.unpersist()
+
+    def follow(self, path: str, heads: str) -> None:
+        """Read as far as the heads allow, a batch after the other, and stop; the next call goes on where this one ended.
+
+        ``path``: a folder of Parquet files of events; ``heads``: one of rows (chain, head)."""
+        ship(self.spark)
+        self.spark.dataSource.register(BlockSource)
+        options = {"path": path, "heads": heads, "cursors": f"{self.root}/cursors", "confirmations": self.confirmations, "most": self.most, "deploy": json.dumps(self.deploy)}
+        stream = self.spark.readStream.format("blocks").options(**options).load()
+        query = stream.writeStream.foreachBatch(self.take).option("checkpointLocation", f"{self.root}/checkpoint").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
 
 
 @dataclass
