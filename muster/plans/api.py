@@ -7,6 +7,7 @@ where their argument is given. A page is cut first and joined to its rungs after
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -16,13 +17,14 @@ from pyspark.sql import functions as F
 
 from muster.operators import documents
 from muster.operators.verdicts import PARENT
+from muster.sources.archive import stored
+from muster.sources.postings import LEAST_SIMILAR, Postings, Question, texts, tokens, trigrams
 
 #: Words and names of the ladder. (Fixed values.)
 STATUSES = ("pass", "fail", "skipped", "error", "refused", "unclaimed", "unprobeable")
 RUNGS = {1: "registered", 2: "resolvable", 3: "parseable", 4: "conformant", 5: "bound", 6: "live", 7: "attested"}
 #: Pages, runs of a search, items of each, the least trigram similarity. (Fixed values.)
-MOST_AGENTS, MOST_TAIL, MOST_RUNS, ITEMS = 500, 200, 16, 5
-LEAST_SIMILAR = 0.3
+MOST_AGENTS, MOST_TAIL, MOST_RUNS, ITEMS, TAIL_HEAD = 500, 200, 16, 5, 10
 
 
 @dataclass
@@ -31,7 +33,8 @@ class Census:
 
     ``runs``: run, chain, status, started_at, finished_at, checker, schema_version. ``snapshots``: run, chain, agent_id, owner.
     ``documents``: run, agent_id, name, description. ``checks``: run, agent_id, rung, status, evidence (JSON text).
-    ``tail``: chain, agent_id, owner, seen_at, superseded_by. ``cursors``: chain, cursor. ``chains``: chain, enabled."""
+    ``tail``: chain, agent_id, owner, seen_at, superseded_by. ``cursors``: chain, cursor. ``chains``: chain, enabled. ``postings``: lists of
+    the runs that are searched, if there are any."""
 
     runs: DataFrame
     snapshots: DataFrame
@@ -40,6 +43,7 @@ class Census:
     tail: DataFrame
     cursors: DataFrame
     chains: DataFrame
+    postings: Postings | None = None
 
 
 # -- arguments -----------------------------------------------------------------------------------------------------
@@ -78,6 +82,12 @@ def parse_runs(runs: Sequence) -> list:
     return out
 
 
+def as_id(q: str) -> int | None:
+    """O-ID: a question that is an id: ASCII digits (after a plus, if any) of a number that a long holds."""
+    found = re.fullmatch(r"\+?[0-9]+|-0+", q.strip(), re.ASCII)
+    return None if found is None or int(found[0]) >= 1 << 63 else int(found[0])
+
+
 def page(limit: int, offset: int, most: int) -> tuple[int, int]:
     """FLT-10."""
     return min(max(limit, 1), most), max(offset, 0)
@@ -86,31 +96,32 @@ def page(limit: int, offset: int, most: int) -> tuple[int, int]:
 # -- search --------------------------------------------------------------------------------------------------------
 
 
-def tokens(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+def similarity(name: Column, q: Question) -> Column:
+    """Of a name and the question, by trigrams."""
+    x = trigrams(name)
+    return q.near(F.size(F.array_intersect(x, texts(q.trigrams))), F.size(x))
 
 
-def trigrams(c: Column) -> Column:
-    """Distinct trigrams of the words of a text, each word with two spaces before and one behind."""
-    one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)))
-    return F.array_distinct(F.flatten(F.transform(tokens(c), one)))
+def matches(q: Question, name: Column, description: Column, owner: Column, near: Column) -> Column:
+    """O-SEARCH: all of its tokens in name and description, or a similar name, or an owner that begins so."""
+    held = F.array_union(tokens(name), tokens(description))
+    every = F.size(F.array_except(texts(q.tokens), held)) == 0 if q.tokens else F.lit(False)
+    return every | (near >= LEAST_SIMILAR) | F.coalesce(F.lower(owner).startswith(q.text.lower()), F.lit(False))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Shared trigrams by all trigrams; 0 where there are none."""
-    x, y = trigrams(a), trigrams(b)
-    both = F.size(F.array_intersect(x, y))
-    return F.coalesce(both / F.nullif(F.size(x) + F.size(y) - both, F.lit(0)), F.lit(0.0))
+def found_by(c: Census, q: str, runs: Sequence, snapshots: DataFrame) -> DataFrame:
+    """``snapshots`` that a question finds, with name and near: by the posting lists where there are some, else by a scan."""
+    asked = Question.of(snapshots.sparkSession, q)
+    if c.postings is not None:
+        return snapshots.join(c.postings.candidates(asked, runs), ["run", "chain", "agent_id"])
+    texts_of = c.documents.filter(F.col("run").isin(list(runs))).select("run", "agent_id", "name", "description")
+    each = snapshots.join(texts_of, ["run", "agent_id"], "left").withColumn("_near", similarity(F.col("name"), asked))
+    return each.filter(matches(asked, F.col("name"), F.col("description"), F.col("owner"), F.col("_near"))).select(*snapshots.columns, F.round("_near", 9).alias("near"))
 
 
-def matches(q: str | None, name: Column, description: Column, owner: Column) -> Column:
-    """O-SEARCH: no question, or all of its tokens in name and description, or a similar name, or an owner that begins so."""
-    if q is None:
-        return F.lit(True)
-    asked = F.lit(q)
-    held = F.array_union(tokens(name), tokens(description))
-    every = (F.size(tokens(asked)) > 0) & (F.size(F.array_except(tokens(asked), held)) == 0)
-    return every | (similarity(name, asked) >= LEAST_SIMILAR) | F.lower(owner).startswith(q.lower())
+def named(c: Census, rows: DataFrame, runs: Sequence) -> DataFrame:
+    """A few rows (a page) with the names of their documents."""
+    return rows.join(c.documents.filter(F.col("run").isin(list(runs))).join(F.broadcast(rows.select("run", "agent_id")), ["run", "agent_id"], "left_semi").select("run", "agent_id", "name"), ["run", "agent_id"], "left")
 
 
 # -- runs ----------------------------------------------------------------------------------------------------------
@@ -176,7 +187,7 @@ def delta(c: Census, run) -> DataFrame:
 
     Flips between ``refused`` or ``error`` and anything else are in ``flips`` only."""
     order = Window.partitionBy("chain").orderBy("started_at", "run")
-    pair = c.runs.filter("status = 'finished'").withColumns({w: F.lag(w).over(order) for w in ()} | {"previous": F.lag("run").over(order), "method_changed": F.coalesce((F.lag("checker").over(order) != F.col("checker")) | (F.lag("schema_version").over(order) != F.col("schema_version")), F.lit(False))})
+    pair = c.runs.filter("status = 'finished'").withColumns({"previous": F.lag("run").over(order), "method_changed": F.coalesce((F.lag("checker").over(order) != F.col("checker")) | (F.lag("schema_version").over(order) != F.col("schema_version")), F.lit(False))})
     row = pair.filter((F.col("run") == run) & F.col("previous").isNotNull()).first()
     if row is None:
         raise LookupError(f"run {run} has no delta")
@@ -202,7 +213,7 @@ def delta(c: Census, run) -> DataFrame:
 # -- agents --------------------------------------------------------------------------------------------------------
 
 
-def _found(c: Census, run, chain=None, rung=None, status=None, facets: Sequence[tuple[int, str]] = (), q=None) -> DataFrame:
+def _found(c: Census, run, chain=None, rung=None, status=None, facets: Sequence[tuple[int, str]] = ()) -> DataFrame:
     out = c.snapshots.filter(F.col("run") == run)
     out = out if chain is None else out.filter(F.col("chain") == chain)
     checks = c.checks.filter(F.col("run") == run)
@@ -215,55 +226,67 @@ def _found(c: Census, run, chain=None, rung=None, status=None, facets: Sequence[
         any_ = reduce(Column.__or__, ((F.col("rung") == r) & (F.col("status") == s) for r, s in asked))
         all_ = checks.filter(any_).groupBy("agent_id").agg(F.count_distinct("rung", "status").alias("n")).filter(F.col("n") == len(asked))
         out = out.join(all_.select("agent_id"), "agent_id", "left_semi")
-    if q is not None:
-        out = out.join(c.documents.filter(F.col("run") == run).select("agent_id", "name", "description"), "agent_id", "left").filter(matches(q, F.col("name"), F.col("description"), F.col("owner")))
     return out
 
 
 def agents(c: Census, run=None, chain=None, rung: int | None = None, status: str | None = None, facets: str | Sequence[tuple[int, str]] = (), q: str | None = None, limit: int = 100, offset: int = 0) -> DataFrame:
     """A page of agents of a run (the latest one if none is named): chain, agent_id, owner, name, rungs (array of rung, status)
-    and the total of all pages. With ``q`` the most similar names come first, else the order is chain and id."""
+    and the total of all pages. With ``q`` the most similar names come first, else the order is chain and id.
+
+    What a question finds is written once, as ids, for the page and its total; the page is cut first and gets its names after."""
     run = latest_run(c, chain) if run is None else run
     limit, offset = page(limit, offset, MOST_AGENTS)
-    found = _found(c, run, chain, rung, status, parse_facets(facets) if isinstance(facets, str) else facets, q)
+    found = _found(c, run, chain, rung, status, parse_facets(facets) if isinstance(facets, str) else facets)
     order = [F.col("chain"), F.col("agent_id")]
     if q is not None:
-        found = found.withColumn("_near", F.round(similarity(F.col("name"), F.lit(q)), 9))
-        order.insert(0, F.desc("_near"))
-    cut = found.orderBy(*order).offset(offset).limit(limit)
-    if q is None:
-        cut = cut.join(c.documents.filter(F.col("run") == run).select("agent_id", "name"), "agent_id", "left").withColumn("_near", F.lit(0.0))
+        found = stored(found_by(c, q, [run], found).select("run", "chain", "agent_id", "owner", "near"), "found")
+        order.insert(0, F.desc("near"))
+    else:
+        found = found.withColumn("near", F.lit(0.0))
+    cut = named(c, found.orderBy(*order).offset(offset).limit(limit), [run])
     rungs = c.checks.filter(F.col("run") == run).join(F.broadcast(cut.select("agent_id")), "agent_id", "left_semi").groupBy("agent_id").agg(F.array_sort(F.collect_list(F.struct("rung", "status"))).alias("rungs"))
     out = cut.join(rungs, "agent_id", "left").crossJoin(F.broadcast(found.agg(F.count("*").alias("total"))))
     return out.orderBy(*order).select("chain", "agent_id", "owner", "name", "rungs", "total")
 
 
-def agent(c: Census, chain, agent_id: int) -> DataFrame:
-    """An agent of the chain's latest run that has it (``origin`` census, with its checks), else its row of the tail (``origin``
-    tail); else LookupError."""
-    order = Window.orderBy(F.desc("started_at"))
-    have = c.snapshots.filter((F.col("chain") == chain) & (F.col("agent_id") == agent_id)).join(c.runs.filter("status = 'finished'").select("run", "started_at"), "run")
-    newest = have.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "started_at")
-    if newest.limit(1).count():
-        checks = c.checks.filter(F.col("agent_id") == agent_id).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("rung", "status", "evidence"))).alias("checks"))
-        names = c.documents.filter(F.col("agent_id") == agent_id).select("run", "name", "description")
-        return newest.join(names, "run", "left").join(checks, "run", "left").withColumn("origin", F.lit("census"))
-    seen = c.tail.filter((F.col("chain") == chain) & (F.col("agent_id") == agent_id))
-    if seen.limit(1).count() == 0:
-        raise LookupError(f"no agent {agent_id} on {chain}")
+def agents_tail(c: Census, chain=None, q: str | None = None) -> DataFrame:
+    """What stands beside every page of agents: the newest TAIL_HEAD agents of the tail for the same chain and question."""
+    return tail(c, chain, q, TAIL_HEAD)
+
+
+def agent(c: Census, chain, agent_id: int, run=None) -> DataFrame:
+    """An agent of one run, with its checks (``origin`` census): of ``run``, or else of the chain's latest finished one.
+
+    Only where no run is named and that one doesn't have it, its unswept row of the tail answers (``origin`` tail); else LookupError.
+    An older run never answers for the latest."""
+    chain = str(chain).strip().lower()
+    pinned = run is not None
+    if not pinned:
+        latest = finished(c, chain, 1).first()
+        run = None if latest is None else latest["run"]
+    have = c.snapshots.filter((F.col("run") == run) & (F.col("chain") == chain) & (F.col("agent_id") == agent_id))
+    if run is not None and have.limit(1).count():
+        checks = c.checks.filter((F.col("run") == run) & (F.col("agent_id") == agent_id)).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("rung", "status", "evidence"))).alias("checks"))
+        names = c.documents.filter((F.col("run") == run) & (F.col("agent_id") == agent_id)).select("run", "name", "description")
+        return have.join(names, "run", "left").join(checks, "run", "left").withColumn("origin", F.lit("census"))
+    seen = c.tail.filter((F.col("chain") == chain) & (F.col("agent_id") == agent_id) & F.col("superseded_by").isNull())
+    if pinned or seen.limit(1).count() == 0:
+        raise LookupError(f"no agent {agent_id} on {chain}" + (f" in run {run}" if pinned else ""))
     return seen.withColumn("origin", F.lit("tail"))
 
 
 def search(c: Census, q: str, asked: Sequence) -> DataFrame:
-    """The ITEMS most similar agents of each run with the run's total, in the order of the runs asked for; all in one pass."""
+    """The ITEMS most similar agents of each run with the run's total, in the order of the runs asked for.
+
+    What is found is written once, as ids; the totals and the items of all runs are read from it, and names are joined to the items."""
     order = parse_runs(asked)
     wanted = c.snapshots.sparkSession.createDataFrame(list(enumerate(order)), "place int, run " + dict(c.snapshots.dtypes)["run"])
-    each = c.snapshots.join(F.broadcast(wanted), "run").join(c.documents.select("run", "agent_id", "name", "description"), ["run", "agent_id"], "left")
-    each = each.filter(matches(q, F.col("name"), F.col("description"), F.col("owner"))).withColumn("near", F.round(similarity(F.col("name"), F.lit(q)), 9))
-    totals = each.groupBy("run").agg(F.count("*").alias("total"))
+    mine = c.snapshots.filter(F.col("run").isin(order)).select("run", "chain", "agent_id", "owner")
+    found = stored(found_by(c, q, order, mine).select("run", "chain", "agent_id", "near"), "found")
+    totals = found.groupBy("run").agg(F.count("*").alias("total"))
     place = F.row_number().over(Window.partitionBy("run").orderBy(F.desc("near"), "chain", "agent_id"))
-    top = each.select("run", "agent_id", "chain", "name", "near").withColumn("item", place).filter(F.col("item") <= ITEMS)
-    return F.broadcast(wanted).join(totals, "run", "left").join(top, "run", "left").select("place", "run", F.coalesce("total", F.lit(0)).alias("total"), "item", "agent_id", "name").orderBy("place", "item")
+    top = named(c, found.withColumn("item", place).filter(F.col("item") <= ITEMS), order)
+    return F.broadcast(wanted).join(totals, "run", "left").join(top.drop("chain", "near"), "run", "left").select("place", "run", F.coalesce("total", F.lit(0)).alias("total"), "item", "agent_id", "name").orderBy("place", "item")
 
 
 # -- tail ----------------------------------------------------------------------------------------------------------
@@ -275,8 +298,8 @@ def tail(c: Census, chain=None, q: str | None = None, limit: int = 50, offset: i
     out = c.tail.filter("superseded_by is null")
     out = out if chain is None else out.filter(F.col("chain") == chain)
     if q is not None:
-        own = F.lower("owner").startswith(q.strip().lower())
-        out = out.filter(own | (F.col("agent_id") == int(q)) if q.strip().isdigit() else own)
+        own, number = F.lower("owner").startswith(q.strip().lower()), as_id(q)
+        out = out.filter(own if number is None else own | (F.col("agent_id") == number))
     cut = out.orderBy(F.desc("seen_at"), "chain", "agent_id").offset(offset).limit(limit)
     return cut.crossJoin(F.broadcast(out.agg(F.count("*").alias("total")))).orderBy(F.desc("seen_at"), "chain", "agent_id")
 

@@ -108,7 +108,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "signature_histogram": ("files gaps", "select signature, count(*) as n, count(distinct owner) as owners from gaps group by signature"),
     "signature_top_owner": ("files gaps", f", {_GAP_TOTALS} select signature, max(n) as top, sum_n as n, {_PCT.format('max(n)', 'sum_n')} as pct from (select *, cast(sum(n) over (partition by signature) as bigint) as sum_n from per) x group by signature, sum_n"),
     "modal_share": ("checks", f"select rung, max(n) as modal, cast(sum(n) as bigint) as n, {_PCT.format('max(n)', 'sum(n)')} as pct from (select rung, $[json|evidence|k] as k, count(*) as n from checks group by 1, 2) x group by rung"),
-    "search_trigram_topk": ("docs", "select doc_id, sim from (select doc_id, round(cast(size_both as double) / (size_a + size_b - size_both), 6) as sim from (select doc_id, $[ntri|name] as size_a, $[ntri|'und der die'] as size_b, $[both|name|'und der die'] as size_both from docs) x) y where sim >= 0.1 order by sim desc, doc_id limit 20"),
+    "search_trigram_topk": ("docs", "select doc_id, sim from (select doc_id, round(cast(size_both as double) / (size_a + size_b - size_both), 6) as sim from (select doc_id, $[ntri|name] as size_a, $[ntri|'und der die'] as size_b, $[both|name|'und der die'] as size_both from docs) x) y where sim > 0 order by sim desc, doc_id limit 20"),
     "id_islands": ("snapshots", "select run_no, owner, min(agent_id) as first_id, max(agent_id) as last_id, count(*) as n from (select *, agent_id - row_number() over (partition by run_no, owner order by agent_id) as g from snapshots) x group by run_no, owner, g"),
     "endpoint_kind_hosts_cumulative": ("listings", "select host, n, cast(sum(n) over (order by n desc, host rows between unbounded preceding and current row) as bigint) as so_far from (select host, count(*) as n from listings group by host) x"),
     "feedback_percentiles": ("checks", "select run_no, percentile_cont(0.5) within group (order by k) as p50, percentile_cont(0.95) within group (order by k) as p95, min(k) as least, max(k) as most from (select run_no, cast($[json|evidence|k] as int) as k from checks) x group by run_no"),

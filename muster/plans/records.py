@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from muster.functions import web
 from muster.operators import documents, ladder, payments, sellers
 from muster.plans import api, census
+from muster.sources.archive import new_path
+from muster.sources.postings import Postings
 from muster.ship import ship
 
 REGISTRY = "0x8004a169fb4a3325136eb29fa0ceb6d2e539a432"
@@ -243,6 +245,17 @@ def api_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api.search(census_tables(spark, sf_dir), "0x1", [2, 0, 2, 1]).withColumns({c: F.col(c).cast("long") for c in ("place", "item")})
 
 
+def search_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-SEARCH by posting lists: index all runs, then ask as ``api_search`` does, and a page of agents of run 1."""
+    c = census_tables(spark, sf_dir)
+    c.postings = Postings(spark, new_path(spark, "postings"), "int")
+    c.postings.add(c.snapshots.join(c.documents, ["run", "agent_id"], "left"))
+    found = api.search(c, "0x1", [2, 0, 2, 1]).select(F.lit("search").alias("call"), F.col("place").cast("long").alias("place"), "run", "total", F.col("item").cast("long").alias("item"), "agent_id", "name")
+    paged = api.agents(c, run=1, q="src1", limit=500)
+    none = F.lit(None).cast("long")
+    return found.unionByName(paged.select(F.lit("agents").alias("call"), none.alias("place"), F.lit(1).alias("run"), "total", none.alias("item"), "agent_id", "name"))
+
+
 def api_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api.tail(census_tables(spark, sf_dir), q="0x2", limit=10, offset=1).select("chain", "agent_id", "owner", "total")
 
@@ -269,6 +282,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         parseable_flags, conformant_gaps, conformant_must, bound_best_entry, declared_endpoints, live_from_rows, declared_targets, x402_by_wallet, document_shapes, catalog_listings, catalog_pages,
-        seller_quotes, shop_decide, seller_consistent, fnv_host_budget, paid_summary, ladder_assembly, api_agents_facets, api_agents_search, api_search, api_tail, api_tail_summary, api_delta, api_rates, api_findings,
+        seller_quotes, shop_decide, seller_consistent, fnv_host_budget, paid_summary, ladder_assembly, api_agents_facets, api_agents_search, api_search, search_indexed, api_tail, api_tail_summary, api_delta, api_rates, api_findings,
     )
 }

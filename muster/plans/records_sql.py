@@ -134,6 +134,10 @@ ORACLE_SQL = {
     "api_agents_search": _call(f"{_NAMED}, found as (select *, count(*) over () as total from named where run_no = 1 and {_match('src1')}) select chain, agent_id, owner_text as owner, name, {_RUNG_LIST.format('found')} as rungs, total from found order by {_near('src1')} desc, agent_id limit 500", "snapshots checks docs"),
     "api_search": _call(f"""{_NAMED}, found as (select *, row_number() over (partition by run_no order by {_near('0x1')} desc, chain, agent_id) as item, count(*) over (partition by run_no) as total from named where {_match('0x1')}), asked as (select * from (values (0, 2), (1, 0), (2, 1)) v(place, run))
         select place::bigint as place, run, coalesce(total, 0) as total, item, agent_id, name from asked left join found on run_no = run and item <= 5""", "snapshots docs"),
+    "search_indexed": _call(f"""{_NAMED}, found as (select *, row_number() over (partition by run_no order by {_near('0x1')} desc, chain, agent_id) as item, count(*) over (partition by run_no) as total from named where {_match('0x1')}), asked as (select * from (values (0, 2), (1, 0), (2, 1)) v(place, run)),
+        paged as (select *, count(*) over () as total from named where run_no = 1 and {_match('src1')} order by {_near('src1')} desc, agent_id limit 500)
+        select 'search' as call, place::bigint as place, run, coalesce(total, 0) as total, item, agent_id, name from asked left join found on run_no = run and item <= 5
+        union all select 'agents', null, 1, total, null, agent_id, name from paged""", "snapshots docs"),
     "api_tail": _call(f"select '0' as chain, agent_id, {_OWNER} as owner, (select count(*) from snapshots where run_no = 2 and agent_id % 3 <> 0 and owner = 2) as total from snapshots where run_no = 2 and agent_id % 3 <> 0 and owner = 2 order by agent_id limit 10 offset 1", "snapshots"),
     "api_tail_summary": _call("select c.chain, count(s.agent_id) as unswept, (select max(agent_id) from snapshots where (run_no % 2)::varchar = c.chain) as cursor from (values ('0'), ('1'), ('3')) c(chain) left join snapshots s on c.chain = '0' and s.run_no = 2 and s.agent_id % 3 <> 0 group by c.chain", "snapshots"),
     "api_delta": _call(_DELTA, "checks"),

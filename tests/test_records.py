@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from muster.functions import web
 from muster.operators import documents, sellers, verdicts
 from muster.plans import api, records, records_sql
+from muster.sources.postings import Postings
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -218,7 +219,68 @@ def test_arguments_are_checked(spark):
     assert api.agents(c, run=1, facets=[(2, "pass"), (2, "pass")]).count() == api.agents(c, run=1, facets="2:pass").count()
     assert api.latest_run(c) == 2 and [r["run"] for r in api.finished(c, "0").collect()] == [2, 0]
     known = c.snapshots.filter("chain = '0'").first()["agent_id"]
-    assert api.agent(c, "0", known).first()["origin"] == "census"
+    assert api.agent(c, " 0 ", known).first()["origin"] == "census"
+
+
+def small_census(spark):
+    """Two finished runs and one that runs; agent 1 was in the older run only, 2 in both, 3 and 4 in the tail, 5 superseded."""
+    frame = spark.createDataFrame
+    return api.Census(
+        runs=frame([("old", "base", "finished", 1), ("new", "base", "finished", 2), ("now", "base", "running", 3)], "run string, chain string, status string, started_at int"),
+        snapshots=frame([("old", "base", 1, "0xA"), ("old", "base", 2, "0xB"), ("new", "base", 2, "0xB"), ("now", "base", 3, "0xC")], "run string, chain string, agent_id long, owner string"),
+        documents=frame([("new", 2, "Two", "second")], "run string, agent_id long, name string, description string"),
+        checks=frame([("new", 2, 1, "pass", "{}"), ("old", 2, 1, "fail", "{}")], "run string, agent_id long, rung int, status string, evidence string"),
+        tail=frame([("base", 3, "0xC", 10, None), ("base", 4, "0x12", 11, None), ("base", 5, "0xC", 12, "new"), ("other", 7, "0xD", 13, None)], "chain string, agent_id long, owner string, seen_at int, superseded_by string"),
+        cursors=frame([("base", 5)], "chain string, cursor long"), chains=frame([("base", True)], "chain string, enabled boolean"),
+    )
+
+
+def test_an_agent_is_answered_from_the_latest_run_the_named_run_or_the_tail(spark):
+    c = small_census(spark)
+    assert (lambda r: (r["run"], r["origin"], r["name"], r["checks"][0]["status"]))(api.agent(c, "BASE", 2).first()) == ("new", "census", "Two", "pass")
+    assert (lambda r: (r["run"], r["name"], r["checks"][0]["status"]))(api.agent(c, "base", 2, run="old").first()) == ("old", None, "fail")
+    assert api.agent(c, "base", 1, run="old").first()["run"] == "old"
+    assert api.agent(c, "base", 3).first()["origin"] == "tail" and api.agent(c, "other", 7).first()["origin"] == "tail"
+    for args in (("base", 1), ("base", 5), ("base", 3, "new"), ("base", 2, "none"), ("other", 2)):
+        with pytest.raises(LookupError):
+            api.agent(c, *args)
+
+
+def test_the_tail_is_asked_by_id_or_owner(spark):
+    c = small_census(spark)
+    ids = lambda q: [r["agent_id"] for r in api.tail(c, "base", q).collect()]
+    assert ids("4") == [4] and ids(" +3 ") == [3] and ids("0XC") == [3] and ids("0x") == [4, 3]
+    for q in ("\u00b2", "99999999999999999999", "9223372036854775808", "\u0663", "-3", "3.0", "1_0"):
+        assert ids(q) == []
+    assert [r["agent_id"] for r in api.agents_tail(c).collect()] == [7, 4, 3] and api.TAIL_HEAD == 10
+    assert (api.as_id("9223372036854775807"), api.as_id("-0"), api.as_id("007")) == (9223372036854775807, 0, 7)
+
+
+def test_posting_lists_find_what_a_scan_finds(spark, tmp_path):
+    words = ["Alpha agent", "alpha beta", "Bêta gamma 12", "", None, "agentic alpha", "gamma-alpha", "x"]
+    rows = [(f"r{i % 3}", "base", i, f"0x{i % 7:x}Ab" if i % 11 else None, words[i % 8], words[(i // 8) % 8]) for i in range(400)]
+    agents = spark.createDataFrame(rows, "run string, chain string, agent_id long, owner string, name string, description string")
+    snapshots, texts = agents.select("run", "chain", "agent_id", "owner"), agents.select("run", "agent_id", "name", "description").filter("name is not null")
+    held = Postings(spark, str(tmp_path / "lists"))
+    held.add(snapshots.join(texts, ["run", "agent_id"], "left").filter("run <> 'r1'"))
+    held.add(snapshots.join(texts, ["run", "agent_id"], "left").filter("run = 'r1'"))
+    scan = api.Census(None, snapshots, texts, None, None, None, None)
+    lists = api.Census(None, snapshots, texts, None, None, None, None, held)
+    for q in ("alpha", "ALPHA beta", "agent", "bêta", "0x1", "0X3a", "nothing", "", "gamma alpha agent", "12 !!", "?", "alph"):
+        for asked in (["r1"], ["r2", "r0"]):
+            found = [sorted(map(tuple, api.found_by(c, q, asked, snapshots.filter(F.col("run").isin(asked))).select("run", "chain", "agent_id", "owner", "near").collect()), key=str) for c in (scan, lists)]
+            assert found[0] == found[1], (q, asked)
+            assert list(map(tuple, api.search(scan, q, asked).collect())) == list(map(tuple, api.search(lists, q, asked).collect()))
+
+
+def test_a_question_reads_its_own_keys(spark, tmp_path):
+    agents = spark.range(20_000).selectExpr("'r' as run", "'base' as chain", "id as agent_id", "concat('0x', id) as owner", "concat('name', id) as name", "'d' as description")
+    held = Postings(spark, str(tmp_path / "lists"))
+    held.add(agents)
+    lists = held.lists("token", ["r"]).filter(F.col("key").isin(["name77"]))
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(key, [name77])]" in plan.replace("IsNotNull(key), ", "") or "EqualTo(key,name77)" in plan
+    assert "PartitionFilters" in plan and lists.count() == 1
 
 
 def test_drafts(spark):
