@@ -31,7 +31,6 @@ from pyspark.sql import types as T
 
 from muster.llm.common import arrow_type, table
 
-PIECE = re.compile(r"[^\x20\x09-\x0D]+")
 #: A vocabulary file's splitter, and what it comes to on a printable ASCII piece in lower case. (Fixed values.)
 SPLITTER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
@@ -39,7 +38,7 @@ ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 REMEMBERED = 110_000
 #: Longer pieces aren't remembered.
 LONGEST = 48
-BATCH_CHARS = 2_500_000
+BATCH_CHARS = 5_000_000
 
 
 class Memory(dict):
@@ -79,12 +78,15 @@ class TrieBpe:
         self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        inner = [t for t in self.vocab if not t.endswith(self.end)]
-        self.longest = max(map(len, inner), default=1)
+        inner = [t for t in self.vocab if not self.end or not t.endswith(self.end)]
+        #: What inner tokens begin with, and whole words' and ends' tokens by what they spell.
+        self.begins = {t[:k] for t in inner for k in range(1, len(t) + 1)}
+        self.closing = {t.removesuffix(self.end): t for t in self.vocab if t.endswith(self.end)}
         self.longest_end = max((len(t) - len(self.end) for t in self.vocab if t.endswith(self.end)), default=1)
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
+        self.made: dict[str, tuple[str, str, int]] = {}
         self.words, self.known = Memory(), Memory()
         self.plain = self._is_plain(spec)
 
@@ -113,51 +115,86 @@ class TrieBpe:
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
         return symbols
 
-    def is_whole(self, token: str) -> bool:
-        if (found := self.whole.get(token)) is None:
-            found = self.whole[token] = self.merged(self.symbols(token)) == [token]
+    def halves(self, token: str) -> tuple[str, str, int]:
+        """The merge that ends a token's encoding: its two sides and its rank; a single symbol has itself and -1."""
+        if (found := self.made.get(token)) is None:
+            symbols, found = self.symbols(token), (token, token, -1)
+            while len(symbols) > 1:
+                ranks = [self.rank.get(p, 1 << 60) for p in zip(symbols, symbols[1:], strict=False)]
+                i = ranks.index(min(ranks))
+                found = (symbols[i], symbols[i + 1], ranks[i])
+                symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            self.made[token] = found
         return found
 
     def compatible(self, left: str, right: str) -> bool:
+        """Whether two tokens stay as they are side by side: no merge across the border comes before one that made either.
+
+        Both are taken apart at the border, the later merge first; a merge across comes too early if its rank is lower (or, against
+        the right token's merge, equal, for the leftmost of equals goes first)."""
         if (found := self.pairs.get((left, right))) is None:
-            found = self.pairs[left, right] = self.merged(self.symbols(left) + self.symbols(right)) == [left, right]
+            a, b, limit, found = left, right, 1 << 60, True
+            while True:
+                if self.rank.get((a, b), 1 << 60) < limit:
+                    found = False
+                    break
+                of_a, of_b = self.halves(a), self.halves(b)
+                if of_a[2] < 0 and of_b[2] < 0:
+                    break
+                if of_a[2] > of_b[2]:
+                    a, limit = of_a[1], of_a[2]
+                else:
+                    b, limit = of_b[0], of_b[2] + 1
+            self.pairs[left, right] = found
         return found
 
     # -- the walk ------------------------------------------------------------------------------------------------
 
-    def last_token(self, word: str, n: int, last: list[str], suffix: str, longest: int) -> str:
-        """The last token of the encoding of word[:n] + suffix; last[i]: that of word[:i], for i < n."""
-        vocab, pairs, whole = self.vocab, self.pairs, self.whole
-        for start in range(max(0, n - longest), n):
-            token = word[start:n] + suffix
-            if token not in vocab or not (whole.get(token) or (token not in whole and self.is_whole(token))):
-                continue
-            if not start:
-                return token
-            left = last[start]
-            fits = pairs.get((left, token))
-            if fits or (fits is None and self.compatible(left, token)):
-                return token
-        raise ValueError(f"no token ends {word[:n]!r}")
+    def may_be(self, token: str) -> bool:
+        """Whether a piece of a word is a token that its own merges give."""
+        if (found := self.whole.get(token)) is None:
+            found = self.whole[token] = token in self.vocab and self.merged(self.symbols(token)) == [token]
+        return found
+
+    def fitting(self, token: str, start: int, last: list[str]) -> bool:
+        """Whether a token can follow what ends at ``start``; last[i]: the last token of word[:i]."""
+        left = last[start]
+        return not start or self.pairs.get((left, token)) or ((left, token) not in self.pairs and self.compatible(left, token))
 
     def encode_words(self, words: list[str]) -> dict[str, tuple[str, ...]]:
         """Tokens of each distinct word. Sorting puts the words in the order of a depth-first walk of their trie; the path
         from the root to the current node is ``last``."""
         out: dict[str, tuple[str, ...]] = {}
-        last, before = [""], ""
+        begins, whole, pairs, closing, end = self.begins, self.whole, self.pairs, self.closing, self.end
+        last, open_, before = [""], [[]], ""  # open_[n]: starts from which word[start:n] begins some token
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del last[min(shared, len(word) - 1) + 1 :]
+            keep = min(shared, len(word) - 1) + 1
+            del last[keep:], open_[keep:]
             for n in range(len(last), len(word)):
-                last.append(self.last_token(word, n, last, "", self.longest))
-            token = self.last_token(word, len(word), last, self.end, self.longest_end)
-            tokens, at = [token], len(word) - (len(token) - len(self.end))
+                starts = [s for s in (*open_[-1], n - 1) if word[s:n] in begins]
+                open_.append(starts)
+                for s in starts:
+                    token = word[s:n]
+                    if (whole.get(token) or (token not in whole and self.may_be(token))) and (not s or pairs.get((last[s], token)) or self.fitting(token, s, last)):
+                        last.append(token)
+                        break
+                else:
+                    raise ValueError(f"no token ends {word[:n]!r}")
+            size = len(word)
+            for s in range(max(0, size - self.longest_end), size):
+                if (token := closing.get(word[s:])) and (whole.get(token) or (token not in whole and self.may_be(token))) and (not s or pairs.get((last[s], token)) or self.fitting(token, s, last)):
+                    break
+            else:
+                raise ValueError(f"no token ends {word!r}")
+            tokens, at = [token], s
             while at:
                 tokens.append(last[at])
                 at -= len(last[at])
-            out[word] = tuple(reversed(tokens))
+            tokens.reverse()
+            out[word] = tuple(tokens)
             before = word
         return out
 
@@ -199,16 +236,25 @@ class TrieBpe:
             (known if len(piece) <= LONGEST else out)[piece] = found
         return out
 
-    def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Of each text: the number of tokens, the ids in decimal joined by one space, the decoded text."""
-        cut = [PIECE.findall(t) for t in texts]
-        long = self.learn({p for pieces in cut for p in pieces})
-        known, out = self.known, []
-        for pieces in cut:
-            coded = [long[p] if p in long else known[p] for p in pieces] if long else [known[p] for p in pieces]
-            coded = [c for c in coded if c[0]]
-            out.append((sum([c[0] for c in coded]), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded])))
-        return out
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Of each text: the number of tokens, the ids in decimal joined by one space, the decoded text.
+
+        Texts are cut and their distinct pieces numbered by Arrow; a piece's ids and tokens are looked up once, and put in the
+        places of all its occurrences at once."""
+        parts = pc.ascii_split_whitespace(texts.fill_null(""))
+        pieces = parts.flatten().dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        long, known = self.learn(set(distinct) - {""}), self.known
+        coded = [(0, "", "") if not p else long[p] if p in long else known[p] for p in distinct]
+        counts = np.array([c[0] for c in coded], np.int64)[pieces.indices.to_numpy()] if coded else np.zeros(0, np.int64)
+        at = np.concatenate([[0], np.cumsum(counts)])[parts.offsets.to_numpy()]
+        written = []
+        for which in (1, 2):
+            flat = pa.array([c[which] + " " if c[0] else "" for c in coded], pa.string()).take(pieces.indices)
+            ends = np.frombuffer(flat.buffers()[1], np.int32)[: len(flat) + 1][parts.offsets.to_numpy()].astype(np.int32)
+            whole = pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), flat.buffers()[2])
+            written.append(pc.utf8_slice_codeunits(whole, 0, -1))
+        return np.diff(at), *written
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.token[i] for i in ids if i in self.token)
@@ -250,12 +296,11 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
             gc.enable()
 
     def coded(bpe: TrieBpe, part: pa.RecordBatch) -> pa.RecordBatch:
-        found = bpe.encode([t or "" for t in part.column(1).to_pylist()])
-        counts, decimal = np.array([c[0] for c in found], np.int64), pa.array([c[1] for c in found], pa.string())
+        counts, decimal, decoded = bpe.encode(pa.concat_arrays([part.column(1)]))
         if ids == "array":
             flat = pc.split_pattern(decimal.filter(pa.array(counts > 0)), " ").flatten().cast(pa.int32())
             decimal = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), flat)
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), decimal, pa.array([c[2] for c in found], pa.string())], schema=arrow)
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), decimal, decoded], schema=arrow)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 

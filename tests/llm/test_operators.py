@@ -180,3 +180,16 @@ def test_lines(spark):
     got = {r["doc_id"]: (r["text"], r["note"]) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as note")).collect()}
     assert got[1] == (f"SECOND line\n{near}", "x") and got[3] == (None, "x") and got[4] == ("", "x") and got[None] == ("unique thing", "x")
     assert got[2][0] in ("\n---", f"{base}\n\n---")
+
+
+def test_pairs_of_tokens_are_judged_as_all_merges_judge_them():
+    import random
+
+    from muster.llm.op3_bpe import encoder
+
+    bpe, pick = encoder("word_bpe_49k.json"), random.Random(1)
+    tokens = [t for t in bpe.vocab if bpe.may_be(t)]
+    inner, short = [t for t in tokens if not t.endswith(bpe.end)], [t for t in tokens if len(t) <= 3]
+    for i in range(8000):
+        left, right = pick.choice(inner if i % 2 else [t for t in short[:400] if not t.endswith(bpe.end)]), pick.choice(tokens if i % 3 else short)
+        assert bpe.compatible(left, right) == (bpe.merged(bpe.symbols(left) + bpe.symbols(right)) == [left, right])
