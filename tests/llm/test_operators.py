@@ -187,7 +187,7 @@ def test_pairs_of_tokens_are_judged_as_all_merges_judge_them():
 
     from muster.llm.op3_bpe import encoder
 
-    bpe, pick = encoder("word_bpe_49k.json"), random.Random(1)
+    bpe, pick = encoder(vocabulary_path("word_bpe_49k.json")), random.Random(1)
     tokens = [t for t in bpe.vocab if bpe.may_be(t)]
     inner, short = [t for t in tokens if not t.endswith(bpe.end)], [t for t in tokens if len(t) <= 3]
     for i in range(8000):

@@ -43,19 +43,29 @@ def similar(a: str, b: str) -> bool:
     return abs(len(a) - len(b)) <= allowed and distance(a, b) <= allowed
 
 
+def blocks(line: str, edits: int) -> set[tuple]:
+    """Where a block of a line that is up to ``edits`` characters shorter can lie in this one."""
+    out = set()
+    for length in range(len(line) - edits, len(line) + 1):
+        sizes = [length // (edits + 1) + (edits + 1 - i <= length % (edits + 1)) for i in range(edits + 1)]
+        for i, size in enumerate(sizes):
+            start, shorter = sum(sizes[:i]), len(line) - length
+            for shift in range(-edits, edits + 1):
+                if abs(shift) <= i and abs(shift - shorter) <= edits - i:
+                    out.add((edits, i, length, line[start + shift : start + shift + size]))
+    return out
+
+
 def line_keys(line: str) -> set[tuple]:
-    """The lanes that a line can be found by: for each choice of lanes their SimHashes."""
-    ranks = sorted({(127 - min(len(w), 127)) << 56 | xxhash.xxh64_intdigest(w, 42) & (1 << 56) - 1 for w in regex.findall(r"[\p{L}\p{N}]+", line)})[: op10.DEALT]
-    lanes = [[r for r in ranks if r % op10.LANES == k][: op10.TOP] for k in range(op10.LANES)]
-
-    def simhash(lane: list[int]) -> int:
-        return sum(1 << k for k in range(64) if 2 * sum(r >> k & 1 for r in lane) > len(lane))
-
-    prints, out = [simhash(lane) for lane in lanes], set()
-    for size, (least, most, letters) in op10.FORMS.items():
-        for chosen in itertools.combinations(range(op10.LANES), size):
-            if least <= len(ranks) <= most and sum(127 - (r >> 56) for k in chosen for r in lanes[k]) >= letters:
-                out.add((chosen, *(prints[k] for k in chosen)))
+    """What a line can be found by: blocks of its text, or SimHashes of its lanes."""
+    out: set[tuple] = blocks(line, 1) if op10.SHORT <= len(line) <= op10.ONE_EDIT else set()
+    out |= blocks(line, op10.EDITS) if op10.SOME_EDITS <= len(line) <= op10.TEXT else set()
+    if len(line) >= op10.LANED:
+        ranks = sorted({(127 - min(len(w), 127)) << 56 | xxhash.xxh64_intdigest(w, 42) & (1 << 56) - 1 for w in regex.findall(r"[\p{L}\p{N}]+", line)})[: op10.DEALT]
+        for k in range(op10.LANES):
+            lane = [r for r in ranks if r % op10.LANES == k][: op10.TOP]
+            if sum(127 - (r >> 56) for r in lane) >= op10.LETTERS:
+                out.add((k, sum(1 << i for i in range(64) if 2 * sum(r >> i & 1 for r in lane) > len(lane))))
     return out
 
 
