@@ -5,8 +5,8 @@ from __future__ import annotations
 
 import base64
 import binascii
-import gzip
 import re
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column
@@ -101,6 +101,18 @@ def percent_decode(text: str) -> bytes:
     return re.sub(rb"%([0-9A-Fa-f]{2})", lambda m: bytes([int(m[1], 16)]), text.encode("utf-8"))
 
 
+def unpacked(raw: bytes, most: int = BODY_CAP + 1) -> bytes:
+    """Gzip members one after another, ``most`` bytes at most, so that a small body can't fill a worker's memory."""
+    out = b""
+    while raw and len(out) < most:
+        member = zlib.decompressobj(31)
+        out += member.decompress(raw, most - len(out))
+        if not member.eof and len(out) < most:
+            raise EOFError("cut short")
+        raw = member.unused_data.lstrip(b"\0")
+    return out
+
+
 def decode_data_uri(uri: str | None) -> tuple[bytes | None, str | None, str | None, str | None]:
     """S-DATAURI: (bytes, variant, compression, error) of a data: URI.
 
@@ -125,8 +137,8 @@ def decode_data_uri(uri: str | None) -> tuple[bytes | None, str | None, str | No
     if packed != "gzip":
         return None, None, packed, "unsupported_compression"
     try:
-        return gzip.decompress(raw), "compressed", packed, None
-    except (OSError, EOFError, ValueError):
+        return unpacked(raw), "compressed", packed, None
+    except (zlib.error, EOFError, ValueError):
         return None, None, packed, "malformed"
 
 
@@ -246,6 +258,11 @@ def escape_nul(c: Column) -> Column:
     return F.replace(c, F.lit("\x00"), F.lit("\\u0000"))
 
 
+def escape_nul_json(c: Column) -> Column:
+    """S-NUL: JSON text whose NUL characters, in keys and values at any depth, are written as the six characters themselves."""
+    return F.regexp_replace(c, r"(?<!\\)((?:\\\\)*)\\u0000", r"$1\\\\u0000")
+
+
 def fnv1a(c: Column) -> Column:
     """S-FNV: 64-bit FNV-1a of a text's UTF-8 bytes, as 16 hex digits (which order as the unsigned number does).
 

@@ -35,6 +35,13 @@ def _finite(text: str) -> float:
     return value if value - value == 0 else _refuse(text)
 
 
+def _whole(text: str) -> int | float:
+    """An integer of 64 bits as it is, a larger one as the double next to it, which must be finite."""
+    if len(text) <= 20 and -(1 << 63) <= (value := int(text)) < 1 << 64:
+        return value
+    return _finite(text)
+
+
 def _depth(value) -> int:
     held, deepest = [(value, 1)], 0
     while held:
@@ -48,7 +55,8 @@ def _depth(value) -> int:
 def strict_parse(body: bytes | None, strip_bom: bool = True) -> tuple[str | None, str | None]:
     """(the document as one JSON text without repeated keys, None) or (None, no_body | bad_utf8 | bad_json).
 
-    The last of repeated keys counts. Trailing text, NaN, infinite numbers, lone surrogates and deeper nesting are refused."""
+    The last of repeated keys counts. Trailing text, NaN, numbers beyond a double (of any notation), lone surrogates and deeper nesting
+    are refused; an integer beyond 64 bits becomes a double."""
     if body is None:
         return None, "no_body"
     body = bytes(body)
@@ -57,7 +65,7 @@ def strict_parse(body: bytes | None, strip_bom: bool = True) -> tuple[str | None
     except UnicodeDecodeError:
         return None, "bad_utf8"
     try:
-        value = json.loads(text, parse_constant=_refuse, parse_float=_finite)
+        value = json.loads(text, parse_constant=_refuse, parse_float=_finite, parse_int=_whole)
         out = json.dumps(value, ensure_ascii=False)
         out.encode("utf-8")
         return (out, None) if _depth(value) <= DEEPEST else (None, "bad_json")
@@ -72,8 +80,9 @@ def with_document(df: DataFrame, body: str = "body", strip_bom: bool = True) ->
     def parse(bodies: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([strict_parse(b, strip_bom) for b in bodies], columns=["text", "parse_error"])
 
-    row = df.withColumn("_parsed", parse(F.col(body)))
-    return row.select(*df.columns, F.parse_json("_parsed.text").alias("doc"), F.col("_parsed.parse_error").alias("parse_error"))
+    row = df.withColumn("_parsed", parse(F.col(body))).withColumn("_doc", F.try_parse_json("_parsed.text"))
+    too_large = F.when(F.col("_doc").isNull() & F.col("_parsed.text").isNotNull(), "bad_json")  # no document stops a job
+    return row.select(*df.columns, F.col("_doc").alias("doc"), F.coalesce("_parsed.parse_error", too_large).alias("parse_error"))
 
 
 # -- reading a variant -------------------------------------------------------------------------------------------
