@@ -174,15 +174,21 @@ def near_groups(dealt: DataFrame, total: int, close: Callable[[str, str], Column
     ``dealt``: (key, id, keys, size), one row for each of a node's ``keys``; nodes with a common key are candidates.
     ``close(a, b)``: of two sizes, whether the nodes can be near at all. ``verify``: of stored pairs (a, b), those that are.
 
-    Large families aren't expanded into pairs: each node is first compared with the smallest id of each of its keys, then
-    pairs of different groups are looked for, each at the first key that it shares. No candidate between groups is lost."""
+    Large families aren't expanded into pairs: each node is first compared with the smallest node of all its keys, then with the
+    smallest of each key that is in another group still, and then pairs of different groups are looked for, each at the first key
+    that it shares. No candidate between groups is lost."""
     plain = dealt.select("key", "id", "size")
     buckets = plain.groupBy("key").agg(F.min(F.struct("id", "size")).alias("hub"), F.count("*").alias("members")).filter("members > 1")
     buckets = stored(buckets.select("key", F.col("hub.id").alias("hub"), F.col("hub.size").alias("hub_size"), "members"), f"{label}-buckets")
     shared = stored(join_to_key(narrowed(plain, "key", buckets), buckets, "key", "members", total), f"{label}-shared")
     stars = shared.filter(close("size", "hub_size") & (F.col("hub") != F.col("id"))).select(F.col("hub").alias("a"), F.col("id").alias("b"))
     stars = stored(stars.distinct(), f"{label}-stars")
-    sure = stored(verify(stars), f"{label}-links")
+    nearest = stored(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), f"{label}-nearest")
+    sure = stored(verify(nearest), f"{label}-links")
+    group = components(sure)
+    of = lambda x: group.select(F.col("node").alias(x), F.col("component").alias(f"_{x}"))
+    apart = stars.join(nearest, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("_a", "a") != F.coalesce("_b", "b"))
+    sure = stored(sure.unionByName(verify(stored(apart.select("a", "b"), f"{label}-apart"))), f"{label}-links")
     first = components(sure).withColumnRenamed("node", "id")
     rows = shared.filter("members > 2").select("key", "id", "size").join(first, "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
     rows = stored(rows, f"{label}-rows")
