@@ -6,7 +6,7 @@ Values are unsigned numbers of 128 bits as texts. Addresses are compared in lowe
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.functions.scalar import DEAD, ZERO
@@ -17,22 +17,29 @@ AUTHORIZED = "0x98de503528ee59b575ef0c0a2576a82497bfc029a5685b209e9ec333479b10a5
 LIMB = 18
 
 
-def exact_sum(value: Column) -> Column:
-    """The sum of a group's amounts as digits, at most 2**128 - 1; what is no amount counts as 0.
-
-    Amounts are added in two halves of LIMB digits, for no decimal holds 39."""
+def halves(value: Column) -> tuple[Column, Column]:
+    """An amount's high and low digits (LIMB of them) as decimals, for no decimal holds 39; what is no amount counts as 0."""
     text = F.coalesce(digits(value), F.lit("0"))
     size = F.length(text)
-    high = F.when(size > LIMB, F.substring(text, F.lit(1), size - LIMB)).otherwise("0").cast("decimal(38,0)")
-    low = F.substring(text, -LIMB, LIMB).cast("decimal(38,0)")
-    total_high, total_low, unit = F.coalesce(F.sum(high), F.lit(0)), F.coalesce(F.sum(low), F.lit(0)), F.lit(10**LIMB).cast("decimal(38,0)")
+    return F.when(size > LIMB, F.substring(text, F.lit(1), size - LIMB)).otherwise("0").cast("decimal(38,0)"), F.substring(text, -LIMB, LIMB).cast("decimal(38,0)")
+
+
+def whole(high: Column, low: Column) -> Column:
+    """The digits of high * 10**LIMB + low, at most 2**128 - 1."""
+    total_high, total_low, unit = F.coalesce(high, F.lit(0)), F.coalesce(low, F.lit(0)), F.lit(10**LIMB).cast("decimal(38,0)")
     low_text = F.lpad(F.pmod(total_low, unit).cast("decimal(38,0)").cast("string"), LIMB, "0")
-    whole = (total_high + F.floor(total_low / unit)).cast("decimal(38,0)").cast("string")
-    out = F.regexp_replace(F.concat(whole, low_text), "^0+(?=[0-9])", "")
+    carried = (total_high + F.floor(total_low / unit)).cast("decimal(38,0)").cast("string")
+    out = F.regexp_replace(F.concat(carried, low_text), "^0+(?=[0-9])", "")
     over = (F.length(out) > len(MOST)) | ((F.length(out) == len(MOST)) & (out > MOST))
     return F.when(over, MOST).otherwise(out)
 
 
+def exact_sum(value: Column) -> Column:
+    """The sum of a group's amounts as digits, at most 2**128 - 1."""
+    high, low = halves(value)
+    return whole(F.sum(high), F.sum(low))
+
+
 def authorizers(logs: DataFrame) -> DataFrame:
     """S-AUTH, JN-22: (token, tx_hash, authorizer) of the first authorization (by log_index) of each token in a transaction. ``logs``:
     (token, tx_hash, log_index, topics array<string>); the address is the last 20 bytes of the second topic."""
@@ -73,20 +80,26 @@ def summary(rows: DataFrame, by: list[str]) -> DataFrame:
 
     ``rows``: (address, agent_id, exclusion, x402, is_contract, value_raw). An address is shared if several agents have rows with it,
     excluded ones as well."""
-    address = F.lower("address")
-    holders = rows.groupBy(*by, address.alias("address")).agg(F.count_distinct("agent_id").alias("holders"))
-    counted = rows.filter("exclusion is null").withColumn("address", address)
-    contract = F.col("is_contract")
+    contract, counted = F.col("is_contract"), F.col("exclusion").isNull()
     kinds = {"contract": contract, "eoa": ~contract, "unread": contract.isNull()}
-    totals = counted.groupBy(*by).agg(
-        F.count_distinct("address").alias("addresses"), F.count_distinct("agent_id").alias("agents"), F.count_distinct(F.when(F.col("x402"), F.col("agent_id"))).alias("x402_agents"), F.count("*").alias("transfers"),
-        *(F.count(F.when(k, 1)).alias(f"n_{n}") for n, k in kinds.items()), *(exact_sum(F.when(k, F.col("value_raw"))).alias(f"value_{n}") for n, k in kinds.items()),
+    high, low = halves(F.col("value_raw"))
+    rows = rows.select(*by, F.lower("address").alias("address"), "agent_id", "x402", "is_contract", counted.alias("counted"), high.alias("_h"), low.alias("_l"))
+    # one row for each address and agent; everything else is summed from these
+    of = {n: F.col("counted") & k for n, k in kinds.items()}
+    sums = [F.sum(F.when(k, F.col(f"_{x}"))).alias(f"{x}_{n}") for n, k in of.items() for x in "hl"]
+    each = rows.groupBy(*by, "address", "agent_id").agg(F.count(F.when(F.col("counted"), 1)).alias("n"), F.max(F.col("counted") & F.col("x402")).alias("x402"), *(F.count(F.when(k, 1)).alias(f"n_{n}") for n, k in of.items()), *sums)
+    held = Window.partitionBy(*by, "address")
+    first = F.row_number().over(held.orderBy(F.desc("n"), "agent_id")) == 1
+    each = each.withColumns({"holders": F.count("agent_id").over(held), "first": first & (F.col("n") > 0)}).filter("n > 0")
+    names = ["n", *(f"n_{n}" for n in kinds), *(f"{x}_{n}" for n in kinds for x in "hl")]
+    agents = each.groupBy(*by, "agent_id").agg(F.bool_and(F.col("holders") > 1).alias("shared"), F.max("x402").alias("x402"), F.count(F.when(F.col("first"), 1)).alias("addresses"), *(F.sum(c).alias(c) for c in names))
+    totals = agents.groupBy(*by).agg(
+        F.sum("addresses").alias("addresses"), F.count("agent_id").alias("agents"), F.count(F.when(F.col("x402") & F.col("agent_id").isNotNull(), 1)).alias("x402_agents"), F.sum("n").alias("transfers"), *(F.sum(f"n_{n}").alias(f"n_{n}") for n in kinds),
+        *(whole(F.sum(f"h_{n}"), F.sum(f"l_{n}")).alias(f"value_{n}") for n in kinds), F.count(F.when(F.col("shared"), 1)).alias("shared_agents"),
     )
-    per_agent = counted.select(*by, "address", "agent_id").distinct().join(holders, [*by, "address"]).groupBy(*by, "agent_id").agg(F.bool_and(F.col("holders") > 1).alias("shared"))
-    shared = per_agent.groupBy(*by).agg(F.count(F.when(F.col("shared"), 1)).alias("shared_agents"))
     value = {n: F.col(f"value_{n}").cast("double") for n in kinds}
     pct = F.when(F.col("n_unread") == 0, value["contract"] * 100.0 / F.nullif(value["contract"] + value["eoa"], F.lit(0.0)))
-    return totals.join(shared, by, "left").withColumns({"contract_pct": F.round(pct, 6)})
+    return totals.withColumns({"contract_pct": F.round(pct, 6)})
 
 
 def with_senders(agents: DataFrame, registrations: DataFrame, senders: DataFrame) -> DataFrame:

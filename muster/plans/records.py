@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from muster.functions import web
 from muster.operators import documents, ladder, payments, sellers
 from muster.plans import api, census
-from muster.sources.archive import new_path
+from muster.sources.archive import new_path, stored
 from muster.sources.postings import Postings
 from muster.ship import ship
 
@@ -104,7 +104,7 @@ def _probes(endpoints: DataFrame) -> DataFrame:
 
 
 def live_from_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _docs(spark, sf_dir).filter("parse_error is null")
+    docs = stored(_docs(spark, sf_dir).filter("parse_error is null").select("p_partkey", "doc"), "docs")  # parsed once
     endpoints = documents.declared_endpoints(docs)
     agents = docs.filter(documents.services(F.col("doc"))["entries"].isNotNull()).select("p_partkey")
     out = documents.live(agents, endpoints, _probes(endpoints), ["p_partkey"])

@@ -169,3 +169,8 @@ ORACLE_SQL["paid_summary"] = census.full_text(
         coalesce(sum(value_raw::hugeint) filter (where is_contract), 0)::hugeint as c_, coalesce(sum(value_raw::hugeint) filter (where not is_contract), 0)::hugeint as e_, coalesce(sum(value_raw::hugeint) filter (where is_contract is null), 0)::hugeint as u_ from c group by 1)
     select token, addresses, agents, x402_agents, transfers, n_contract, n_eoa, n_unread, c_::varchar as value_contract, e_::varchar as value_eoa, u_::varchar as value_unread, (select count(*) from a where a.token = t.token and every) as shared_agents,
         case when n_unread = 0 then round(c_::double * 100.0 / nullif(c_::double + e_::double, 0), 6) end as contract_pct from t""", "transfers", True)
+
+#: FNV-1a by a fold over the bytes, in 128 bits modulo 2**64.
+_FNV = "list_reduce(list_prepend(14695981039346656037::hugeint, list_transform(range(1, strlen(url) + 1), lambda i: ('0x' || substr(hex(encode(url)), 2 * i - 1, 2))::hugeint)), lambda h, b: (xor(h, b) * 1099511628211::hugeint) % 18446744073709551616::hugeint)"
+ORACLE_SQL["fnv_host_budget"] = f"""with u as (select distinct url, lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) as host from pages), f as (select host, url, lpad(lower(hex({_FNV}::ubigint)), 16, '0') as fnv from u),
+    r as (select *, row_number() over (partition by host order by fnv, url) as place from f) select host, url, fnv, place from r where place <= 5"""
