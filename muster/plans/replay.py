@@ -9,6 +9,8 @@ from muster.functions import session
 from muster.operators import boundary, fetching, payments
 from muster.plans import records, records_sql
 from muster.ship import ship
+from muster.sources.archive import new_path
+from muster.sources.runs import RunStore, agent_documents
 from muster.streaming.quotas import quota_stream
 from muster.streaming.tail import drain
 
@@ -68,6 +70,17 @@ def sql_document_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("select p_partkey, f.name as doc_name, f.description as doc_description, f.error as doc_error from (select p_partkey, document_fields(body) as f from {docs})", docs=docs)
 
 
+def documents_at_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UDF-3: names and descriptions that a run store projects when bodies are written; a run is replaced by half its documents."""
+    ship(spark)
+    store = RunStore(spark, new_path(spark, "runs"), {"http_archive": ("agent_documents", agent_documents)})
+    bodies = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("cast(p_partkey as bigint) as agent_id", f"encode({records.BODY}, 'UTF-8') as body")
+    store.publish("a", {"http_archive": bodies}, chain="c")
+    store.publish("b", {"http_archive": bodies}, chain="c")
+    store.put("b", "http_archive", bodies.filter("agent_id % 2 = 0"))
+    return store.table("agent_documents", "agent_id long, name string, description string, error string")
+
+
 # -- payments by address -------------------------------------------------------------------------------------------
 
 
@@ -109,7 +122,7 @@ def registration_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments.with_senders(agents, agents.filter("agent_id % 7 > 0").select("agent_id", tx), senders).select("agent_id", "tx_hash", "sender")
 
 
-QUERIES = {f.__name__: f for f in (fetch_archive, find_boundary, stream_quota, sql_run_findings, sql_document_fields, payments_reached, payments_counted, registration_senders)}
+QUERIES = {f.__name__: f for f in (fetch_archive, find_boundary, documents_at_write, stream_quota, sql_run_findings, sql_document_fields, payments_reached, payments_counted, registration_senders)}
 
 
 def _duck(text: str) -> str:
@@ -137,6 +150,7 @@ ORACLE_SQL = {
     "find_boundary": "select 'c' || (o_orderkey % 7) as chain, max(cast(floor(o_orderkey / 7) as bigint)) as highest, cast(null as varchar) as error from orders group by 1 union all select 'none', null, null",
     "sql_run_findings": f"select finding, numerator, denominator from ({records_sql.ORACLE_SQL['api_findings']}) where run = 1",
     "sql_document_fields": f"select p_partkey, doc_name, doc_description, doc_error from ({records_sql.ORACLE_SQL['parseable_flags']})",
+    "documents_at_write": f"with x as (select p_partkey::bigint as agent_id, doc_name as name, doc_description as description, doc_error as error from ({records_sql.ORACLE_SQL['parseable_flags']})) select *, 'a' as run from x union all select *, 'b' from x where agent_id % 2 = 0",
     "payments_reached": f"{_REACHED} select tx::varchar as tx_hash, log::bigint as log_index, agent_id::bigint as agent_id, direction, counterparty, authorizer, authorizer is not null as x402, payer_is_owner, exclusion from c",
     "payments_counted": f"{_REACHED} select direction, coalesce(exclusion, 'counted') as exclusion, count(*) as transfers, count(distinct agent_id) as agents, count(authorizer) as by_authorization from c group by 1, 2",
     "registration_senders": "select s_suppkey::bigint as agent_id, r.tx as tx_hash, '0x' || o_custkey as sender from supplier left join (select s_suppkey as k, 't' || floor(s_suppkey / 10)::bigint as tx from supplier where s_suppkey % 7 > 0) r on k = s_suppkey left join orders on 't' || o_orderkey = r.tx and o_orderkey % 4 > 0",

@@ -10,13 +10,15 @@ runs; partitions of other runs and versions aren't read. ``vacuum`` deletes vers
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from muster.operators.documents import project_document, with_document
+
 RUN = (
     "run string, chain string, chain_id long, status string, started_at timestamp, finished_at timestamp, heartbeat_at timestamp, pinned_block long, agent_count long, unreadable long, unwritable long, "
     "checker string, schema_version int, end_reason string"
@@ -35,10 +37,19 @@ def names(schema: str) -> list[str]:
     return [c.strip().split(" ")[0] for c in schema.split(", ")]
 
 
+def agent_documents(fetched: DataFrame) -> DataFrame:
+    """UDF-3, S-DOC: agent_id, name, description and error of fetched bodies (agent_id, body); what can't be read has its error."""
+    return project_document(with_document(fetched.select("agent_id", "body"))).select("agent_id", *(F.col(f"doc_{c}").alias(c) for c in ("name", "description", "error")))
+
+
 @dataclass
 class RunStore:
+    """``projections``: tables that are derived when another is written, by name: (derived table, function of the written rows). They
+    are named by the same row as what they come from, so that no reader sees one without the other."""
+
     spark: SparkSession
     root: str
+    projections: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = field(default_factory=dict)
 
     def _read(self, name: str, schema: str) -> DataFrame:
         """A folder's rows; a folder that isn't there yet has none."""
@@ -136,15 +147,29 @@ class RunStore:
         rows.withColumns({"run": F.lit(run), "v": F.lit(version)}).write.partitionBy("run", "v").mode("append").parquet(f"{self.root}/{name}")
         return version
 
+    def _written(self, run: str, tables: dict[str, DataFrame]) -> dict[str, str]:
+        """New versions of tables and of what is derived from them (from the rows as they were written)."""
+        versions = {}
+        for name, rows in tables.items():
+            versions[name] = self._write(run, name, rows)
+            derived, make = self.projections.get(name, (None, None))
+            if derived is not None and derived not in tables:
+                schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+                own = self._read(name, f"{schema}, run string, v string").filter((F.col("run") == run) & (F.col("v") == versions[name])).drop("run", "v")
+                versions[derived] = self._write(run, derived, make(own))
+        return versions
+
     def put(self, run: str, name: str, rows: DataFrame) -> None:
         """SNK-8, LIF-10: a run's rows of a table, in place of what it had there, which may be more, or none."""
-        self._state(run, {name: self._write(run, name, rows)})
+        self._state(run, self._written(run, {name: rows}))
 
     def add(self, run: str, name: str, rows: DataFrame) -> None:
         """SET-2: more rows of a running run's table, as a job that can be resumed writes them."""
         row = self._states().filter(F.col("run") == run).select("status", F.col("tables")[name].alias("v")).first()
         if row is None or row["status"] != "running":
             raise ValueError(f"run {run} is not running")
+        if name in self.projections:
+            raise ValueError(f"{name} is projected as a whole; put it")
         version = self._write(run, name, rows, row["v"])
         if row["v"] is None:
             self._state(run, {name: version})
@@ -153,7 +178,7 @@ class RunStore:
         """SNK-1, LIF-8: write tables of a run, then one row that names them all: finished, or failed if it wasn't read completely.
 
         A run that was there shows its old tables until then. Tables that aren't named stay (``only``: go)."""
-        self._state(run, {name: self._write(run, name, rows) for name, rows in tables.items()}, only, **({"status": "finished" if complete else "failed"} | values))
+        self._state(run, self._written(run, tables), only, **({"status": "finished" if complete else "failed"} | values))
 
     def remaining(self, ids: DataFrame, run: str, name: str, schema: str, key: str) -> DataFrame:
         """LIF-3, SET-2: the ids that a run hasn't written yet."""

@@ -91,6 +91,21 @@ def test_a_running_run_is_added_to_and_resumed(spark, tmp_path):
         store.add("a", "checks", checks(spark, (4, 1, "pass")))
 
 
+def test_projections_are_published_with_their_table(spark, tmp_path):
+    store = runs.RunStore(spark, str(tmp_path), {"http_archive": ("agent_documents", runs.agent_documents)})
+    bodies = lambda *rows: spark.createDataFrame(list(rows), "agent_id long, body binary")
+    shown = lambda: sorted((r["run"], r["agent_id"], r["name"], r["error"]) for r in store.table("agent_documents", "agent_id long, name string, description string, error string").collect())
+    store.publish("a", {"http_archive": bodies((1, b'{"name":"One"}'), (2, b"{"), (3, None))})
+    assert shown() == [("a", 1, "One", None), ("a", 2, None, "bad_json"), ("a", 3, None, "no_body")]
+    store.put("a", "http_archive", bodies((4, b'{"name":"Four"}')))
+    assert shown() == [("a", 4, "Four", None)]
+    store.put("a", "http_archive", bodies((4, b"{}")).limit(0))
+    assert shown() == []
+    with pytest.raises(Exception, match="stopped"):
+        store.publish("a", {"http_archive": bodies((5, b"{}")), "checks": checks(spark, (1, 1, "pass")).filter(F.raise_error(F.lit("stopped")).isNull())})
+    assert shown() == []
+
+
 def test_heartbeats_and_stalled_runs(spark, tmp_path):
     store, at = runs.RunStore(spark, str(tmp_path)), lambda s: datetime(2024, 1, 1, 10) + timedelta(seconds=s)
     for run, beat in (("quiet", 0), ("alive", 500), ("starting", None), ("done", 0)):
