@@ -174,3 +174,18 @@ ORACLE_SQL["paid_summary"] = census.full_text(
 _FNV = "list_reduce(list_prepend(14695981039346656037::hugeint, list_transform(range(1, strlen(url) + 1), lambda i: ('0x' || substr(hex(encode(url)), 2 * i - 1, 2))::hugeint)), lambda h, b: (xor(h, b) * 1099511628211::hugeint) % 18446744073709551616::hugeint)"
 ORACLE_SQL["fnv_host_budget"] = f"""with u as (select distinct url, lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) as host from pages), f as (select host, url, lpad(lower(hex({_FNV}::ubigint)), 16, '0') as fnv from u),
     r as (select *, row_number() over (partition by host order by fnv, url) as place from f) select host, url, fnv, place from r where place <= 5"""
+
+#: Sellers by payee and host, 8 of a host asked; rungs 2 and 3 by what was seen, rung 7 by the claims of the very URL.
+ORACLE_SQL["seller_probe"] = f"""with {_QUOTES}, o as (select page_id, url, {_PAYEE} as pay_to, lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) || ':' || (page_id % 3) as host, page_id % 23 > 0 as permitted,
+        case when page_id % 17 = 0 then 'timeout' end as error, case when page_id % 13 = 0 then 429 when page_id % 7 = 0 then 200 else 402 end as code, page_id % 5 > 0 as has_body from pages),
+    over_ as (select pay_to, host from (select pay_to, host, row_number() over (partition by host order by pay_to) as n from (select distinct pay_to, host from o)) where n > 8),
+    s as (select o.*, {_REASON} as why, not permitted or error is not null or code in (401, 407, 429, 503) as stopped from o anti join over_ using (pay_to, host) join p on p.page_id = o.page_id),
+    t as (select *, case when stopped then 'skipped' when code = 402 and has_body and why is null then 'pass' else 'fail' end as third from s),
+    q as (select m.*, {_NET} = 'eip155:8453' as same_net, asset = lower('{_USDC}') as same_asset from mine m), c as (select {_PAYEE} as pay_to, url, (page_id % 250 * 997)::varchar as claimed from pages where page_id % 2 = 0),
+    near as (select t.page_id, c.claimed, t.third, q.k, q.same_net, q.same_asset, q.amount = c.claimed as same_amount, row_number() over (partition by t.page_id, c.claimed order by 2 * q.same_asset::int + q.same_net::int desc, q.k desc) as n,
+        bool_or(q.same_net and q.same_asset and q.amount = c.claimed) over (partition by t.page_id, c.claimed) as exact from t join c on c.pay_to = t.pay_to and c.url = t.url left join q on q.page_id = t.page_id and t.third = 'pass'),
+    every as (select 2 as rung, case when not permitted then 'refused' when error is not null then 'error' when code in (401, 407, 429, 503) then 'refused' else 'pass' end as status, coalesce(error, case when not permitted or error is null and code in (401, 407, 429, 503) then 'declined' end) as reason from t
+        union all select 3, third, case when stopped then 'rung_2_not_pass' when code <> 402 then 'http_' || code when not has_body then 'no_body' else why end from t
+        union all select 7, case when k is null then 'skipped' when exact then 'pass' else 'fail' end, case when k is null then 'rung_3_not_pass' when not exact then coalesce(nullif(concat_ws('+', case when not same_net then 'network' end, case when not same_asset then 'asset' end, case when not same_amount then 'amount' end), ''), 'no_matching_requirement') end from near where n = 1
+        union all select r, 'unprobed', 'host_budget' from over_, (values (2), (3)) v(r))
+    select rung::bigint as rung, status, reason, count(*) as n from every group by 1, 2, 3"""
