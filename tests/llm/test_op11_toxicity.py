@@ -1,5 +1,6 @@
 """op11_toxicity: held-out accuracy, features against plain loops, odd and empty rows."""
 
+import random
 import re
 import zlib
 
@@ -88,9 +89,11 @@ def test_odd_rows_and_too_few_labels(spark):
 
 def test_odd_rows_with_fitted_trees(spark):
     """Texts are scored by what they hold: repeated rows alike, and null, empty and blank texts alike."""
-    taught = [(i, "you stupid idiot scum" if i % 4 == 0 else "the river ran past the old mill") for i in range(1000, 1400)]
+    pick = random.Random(2)
+    # only the words themselves tell the kinds apart: lengths, from none on, are alike
+    taught = [(i, " ".join(pick.choices("the river ran past an old mill you".split(), k=pick.randrange(12)) + ["idiot"] * (i % 4 == 0))) for i in range(1000, 1800)]
     docs, labels = spark.createDataFrame(ODD + taught, "doc_id long, text string"), spark.createDataFrame([(i, int("idiot" in t)) for i, t in taught], "doc_id long, toxic int")
     got = {}
     for r in score_toxicity(docs, labels, trees=3).collect():
         got.setdefault(r["doc_id"], []).append(r["score"])
-    assert got[1] == got[2] == got[3] and got[5][0] == got[5][1] > got[1][0] and got[1000][0] > 0.9 and got[1001][0] < 0.1
+    assert got[1] == got[2] == got[3] and got[5][0] == got[5][1] > got[1][0] and got[5][0] > 0.9 and got[1][0] < 0.1
