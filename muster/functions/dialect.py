@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-#: Distinct trigrams of a text in lower case, padded by two spaces before and one behind.
-_TRI = ("array_distinct(transform(sequence(1, length({0}) + 1), i -> substr(concat('  ', lower({0}), ' '), i, 3)))", "list_distinct(list_transform(range(1, length({0}) + 2), lambda i: substr(concat('  ', lower({0}), ' '), i, 3)))")
+#: Distinct trigrams of a text in lower case, padded by two spaces before and one behind. (Spark's substr counts characters from the
+#: first byte on, and a lambda lowers the text again for each place; a regular expression goes over the text once.)
+_TRI = ("array_distinct(slice(regexp_extract_all(concat('  ', lower({0}), ' '), '(?s)(?=(...)).', 1), 1, length({0}) + 1))", "list_distinct(list_transform(range(1, length({0}) + 2), lambda i: substr(concat('  ', lower({0}), ' '), i, 3)))")
 
 #: Unicode's white space at the beginning or end of a text. (Fixed values; no braces, which would name a table.)
 _SPACE = r"[\x09-\x0D " + "\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
@@ -24,6 +25,7 @@ _FORMS = {
     "explode": (lambda src, name: f"lateral view explode({src}) as {name}", lambda src, name: f", unnest({src}) as u_{name}({name})"),
     "seq": (lambda a, b: f"sequence({a}, {b})", lambda a, b: f"range({a}, {b} + 1)"),
     "array": (lambda *x: f"array({', '.join(x)})", lambda *x: f"[{', '.join(x)}]"),
+    "tri": (lambda c: _TRI[0].format(c), lambda c: _TRI[1].format(c)),
     "ntri": (lambda c: f"size({_TRI[0].format(c)})", lambda c: f"len({_TRI[1].format(c)})"),
     "both": (lambda a, b: f"size(array_intersect({_TRI[0].format(a)}, {_TRI[0].format(b)}))", lambda a, b: f"len(list_intersect({_TRI[1].format(a)}, {_TRI[1].format(b)}))"),
     "bare": (lambda c: f"regexp_replace({c}, r'{_SPACES}', '')", lambda c: f"regexp_replace({c}, '{_SPACES}', '', 'g')"),

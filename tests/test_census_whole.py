@@ -34,3 +34,19 @@ def test_contract_share_has_payees_of_any_id(spark, tmp_path):
     for t, c in (("supplier", "s_suppkey"), ("lineitem", "l_suppkey")):
         spark.read.parquet(f"{SF}/{t}.parquet").withColumn(c, F.col(c) + 50).write.parquet(f"{tmp_path}/{t}.parquet")
     assert census.run("contract_share", spark, str(tmp_path)).count() > 0
+
+
+def test_trigrams_of_a_long_text_take_one_pass(spark, tmp_path):
+    """A text of a million characters beside short ones; lowering it again for each of its places would take hours."""
+    long = "Und der Die " + " ".join(f"{i:x}" for i in range(200_000))
+    rows = [(1, "und der die"), (2, long), (3, None), (4, ""), (5, "x\nDer\U0001f600a")]
+    spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'' as source", "'' as lang").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def grams(text: str) -> set[str]:
+        padded = f"  {text.lower()} "
+        return {padded[i : i + 3] for i in range(len(text) + 1)}
+
+    asked = grams("und der die")
+    want = {i: round(len(grams(t) & asked) / len(grams(t) | asked), 6) for i, t in rows if t}
+    assert len(long) > 10**6
+    assert {r["doc_id"]: r["sim"] for r in census.run("search_trigram_topk", spark, str(tmp_path)).collect()} == want
