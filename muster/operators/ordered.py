@@ -22,12 +22,12 @@ def ranged(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     return stored(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), label)
 
 
-def with_carried(rows: DataFrame, carried: DataFrame, by: list[str]) -> DataFrame:
-    """Left join by part and key, nulls equal."""
+def with_carried(rows: DataFrame, carried: DataFrame, by: list[str], how: str = "left") -> DataFrame:
+    """Left (or inner) join by part and key, nulls equal."""
     names = [PART, *by]
     other = carried.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate(names)})
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_c{i}")) for i, c in enumerate(names)))
-    return rows.join(other, same, "left").drop(*(f"_c{i}" for i in range(len(names))))
+    return rows.join(other, same, how).drop(*(f"_c{i}" for i in range(len(names))))
 
 
 def before_parts(by: list[str]):
@@ -44,10 +44,12 @@ def running_sum(df: DataFrame, by: list[str], order: list[Column], value: str, o
     return with_carried(rows.withColumn(out, F.sum(value).over(up_to)), carried, by).withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop("_before", PART)
 
 
-def as_of(rows: DataFrame, history: DataFrame, by: list[str], at: str, tie: list[str], values: list[str]) -> DataFrame:
+def as_of(rows: DataFrame, history: DataFrame, by: list[str], at: str, tie: list[str], values: list[str], keyed: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``values`` of the last row of ``history`` (same ``by``) whose ``at`` isn't after theirs; nulls where there is none.
 
-    ``tie``: columns of ``history`` that order its rows of one ``at``."""
+    ``tie``: columns of ``history`` that order its rows of one ``at``. ``keyed``: (``by``, ...), one row for each key, whose other
+    columns come along; rows whose key isn't there (or null) go. It meets what is carried in, one row for each key and partition,
+    so that a hot key's rows aren't joined in one task."""
     kept = [c for c in rows.columns if c not in (*by, at)]
     asks = rows.select(*by, at, F.lit(1).alias("_ask"), F.struct(*kept).alias("_row") if kept else F.lit(None).alias("_row"))
     knows = history.select(*by, at, F.lit(0).alias("_ask"), *(F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)), F.struct(*values).alias("_value"))
@@ -55,10 +57,14 @@ def as_of(rows: DataFrame, history: DataFrame, by: list[str], at: str, tie: list
     both = ranged(asks.unionByName(knows, allowMissingColumns=True), [*map(F.col, by), *map(F.col, order)], "as-of")
     seen = Window.partitionBy(PART, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = both.withColumn("_known", F.last("_value", ignorenulls=True).over(seen)).filter("_ask = 1")
-    per_part = both.groupBy(PART, *by).agg(F.max_by("_value", F.when(F.col("_ask") == 0, F.struct(*order))).alias("_last"))
+    ends = both.filter("_ask = 0").groupBy(PART, *by).agg(F.max_by("_value", F.struct(*order)).alias("_last"))
+    per_part = ends.unionByName(both.filter("_ask = 1").select(PART, *by).distinct(), allowMissingColumns=True).groupBy(PART, *by).agg(F.first("_last", ignorenulls=True).alias("_last"))
     carried = per_part.select(PART, *by, F.last("_last", ignorenulls=True).over(before_parts(by)).alias("_before"))
-    found = with_carried(local, carried, by).withColumn("_value", F.coalesce("_known", "_before"))
-    return found.select(*by, at, *(F.col(f"_row.{c}").alias(c) for c in kept), *(F.col(f"_value.{v}").alias(v) for v in values))
+    more = [c for c in keyed.columns if c not in by] if keyed is not None else []
+    if keyed is not None:
+        carried = carried.join(keyed.select(*by, F.struct(*more).alias("_of")), by)
+    found = with_carried(local, carried, by, "left" if keyed is None else "inner").withColumn("_value", F.coalesce("_known", "_before"))
+    return found.select(*by, at, *(F.col(f"_row.{c}").alias(c) for c in kept), *(F.col(f"_value.{v}").alias(v) for v in values), *(F.col(f"_of.{c}").alias(c) for c in more))
 
 
 def percentiles(df: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:

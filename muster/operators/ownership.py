@@ -23,8 +23,7 @@ def owned_payments(payments: DataFrame, moves: DataFrame) -> DataFrame:
 
     pre_mint (before the agent was there), by_owner_then (the payer owned it at that time), before_acquisition (under an earlier
     owner), by_owner (the payer owns it now), and external."""
-    known = as_of(payments, moves.withColumn("owner_then", F.col("owner")), ["agent"], "block", ["log_index"], ["owner_then"])
-    rows = known.join(holdings(moves).drop("transfers"), "agent")
+    rows = as_of(payments, moves.withColumn("owner_then", F.col("owner")), ["agent"], "block", ["log_index"], ["owner_then"], holdings(moves).drop("transfers"))
     standing = F.when(F.col("block") < F.col("minted"), "pre_mint").when(F.col("payer") == F.col("owner_then"), "by_owner_then").when(F.col("block") < F.col("acquired"), "before_acquisition")
     return rows.withColumn("standing", standing.when(F.col("payer") == F.col("owner"), "by_owner").otherwise("external"))
 

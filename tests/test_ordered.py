@@ -78,3 +78,24 @@ def test_standing_of_payments(spark):
     assert len(got) == 8 and all(r["standing"] == r["want"] for r in got)
     assert {(r["agent"], r["minted"], r["transfers"], r["owner"], r["acquired"]) for r in ownership.holdings(m).collect()} == {(1, 10, 2, "carol", 20), (2, 5, 0, "dave", 5)}
     assert {r["standing"]: (r["payments"], r["agents"], r["agents_all"]) for r in ownership.exposure(p, m).collect()} == {"pre_mint": (1, 1, 0), "by_owner_then": (3, 2, 0), "before_acquisition": (2, 1, 0), "external": (2, 2, 0)}
+
+
+def test_payments_to_one_agent_are_in_many_tasks(spark):
+    """Nearly all payments go to one agent; no join puts them in one partition (holdings too large to broadcast)."""
+    moves = [(a, b, b, f"w{b % 5}") for a in range(20) for b in range(0, 400, 9)]
+    m = spark.createDataFrame(moves, "agent long, block long, log_index long, owner string")
+    p = spark.range(4000).selectExpr("case when id % 50 = 0 then id % 23 else 1 end as agent", "id % 397 as block", "concat('w', id % 7) as payer", "id")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = ownership.owned_payments(p, m).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    per = defaultdict(int)
+    for r in got:
+        per[r["task"]] += 1
+        then = [x for x in moves if x[0] == r["agent"] and x[1] <= r["block"]]
+        assert r["owner_then"] == max(then, key=lambda x: x[1])[3] and (r["minted"], r["acquired"], r["owner"]) == (0, 396, "w1")
+    assert len(got) == sum(a < 20 for a in ([i % 23 if i % 50 == 0 else 1 for i in range(4000)])) and max(per.values()) < len(got) / 2, per
