@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.operators.ordered import as_of
@@ -31,5 +31,5 @@ def owned_payments(payments: DataFrame, moves: DataFrame) -> DataFrame:
 def exposure(payments: DataFrame, moves: DataFrame) -> DataFrame:
     """AGG-38: by standing, payments and agents that have one, and agents that have no other."""
     per = owned_payments(payments, moves).groupBy("agent", "standing").agg(F.count("*").alias("n"))
-    kinds = per.groupBy("agent").agg(F.count("*").alias("kinds"))
-    return per.join(kinds, "agent").groupBy("standing").agg(F.sum("n").alias("payments"), F.count("*").alias("agents"), F.count(F.when(F.col("kinds") == 1, 1)).alias("agents_all"))
+    per = per.withColumn("kinds", F.count("*").over(Window.partitionBy("agent")))
+    return per.groupBy("standing").agg(F.sum("n").alias("payments"), F.count("*").alias("agents"), F.count(F.when(F.col("kinds") == 1, 1)).alias("agents_all"))
