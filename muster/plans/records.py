@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from muster.functions import web
 from muster.operators import documents, ladder, payments, sellers
-from muster.plans import api, census
+from muster.plans import api, census, seller_jobs
 from muster.sources.archive import new_path, stored
 from muster.sources.postings import Postings
 from muster.ship import ship
@@ -285,3 +285,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         seller_quotes, shop_decide, seller_consistent, fnv_host_budget, paid_summary, ladder_assembly, api_agents_facets, api_agents_search, api_search, search_indexed, api_tail, api_tail_summary, api_delta, api_rates, api_findings,
     )
 }
+QUERIES["seller_probe"] = seller_jobs.seller_probe
