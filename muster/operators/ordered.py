@@ -18,8 +18,10 @@ PART = "_part"
 
 
 def ranged(df: DataFrame, order: list[Column], label: str) -> DataFrame:
-    """``df`` dealt by ranges of ``order``, with ``_part``: 0, 1, ... in that order."""
-    return stored(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), label)
+    """``df`` dealt by ranges of ``order``, with ``_part``: 0, 1, ... in that order. With their number given, parts aren't coalesced to
+    a few large ones, of which a hot key would later have each in one task."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()), label)
 
 
 def with_carried(rows: DataFrame, carried: DataFrame, by: list[str], how: str = "left") -> DataFrame:
