@@ -7,8 +7,8 @@ the node where that token starts. The depth-first walk finds each node's last to
 word's last symbol carries the end-of-word mark and is resolved at its leaf. Encodings are read back from the leaf.
 
 Texts are cut at ASCII white space first, at which no word of the tokenizer can cross; the tokenizer's own normaliser and
-splitter turn a cut piece into words. Each task keeps caches of bounded size (REMEMBERED short pieces and words, and some
-more verdicts on pairs of tokens) and works on BATCH_CHARS of text at a time, or on one text that is longer. There is no shuffle.
+splitter turn a cut piece into words. Each task keeps caches of bounded size (twice REMEMBERED short pieces and words, as
+tuples of ids, and as many verdicts on pairs of tokens) and works on BATCH_CHARS of text at a time, or on one text that is longer. There is no shuffle.
 
 Nulls: a null text is empty and has no tokens. Texts of any length are encoded whole. Repeated rows are encoded each;
 an empty table gives no rows; other columns are ignored.
@@ -21,6 +21,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ SPLITTER = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Most pieces, words and pair verdicts in the younger half of a worker's caches; beyond it, the older half is forgotten.
 REMEMBERED = 110_000
+#: Pieces that are learnt at a time.
+LEARNT = 20_000
 #: Longer pieces aren't remembered.
 LONGEST = 48
 BATCH_CHARS = 5_000_000
@@ -84,6 +87,8 @@ class TrieBpe:
         self.closing = {t.removesuffix(self.end): t for t in self.vocab if t.endswith(self.end)}
         self.longest_end = max((len(t) - len(self.end) for t in self.vocab if t.endswith(self.end)), default=1)
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        #: What each id spells, by id.
+        self.spelt = pa.array([self.token.get(i) for i in range(max(self.token, default=-1) + 1)], pa.string())
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
         self.made: dict[str, tuple[str, str, int]] = {}
@@ -214,12 +219,12 @@ class TrieBpe:
                 words += [(w, False) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
         return words
 
-    def learn(self, pieces: set[str]) -> dict[str, tuple[int, str, str]]:
+    def learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
         """What long pieces come to; the shorter ones are known afterwards. All new words go through one trie."""
         known, words, vocab = self.known, self.words, self.vocab
         known.age()
         words.age()
-        if len(self.pairs) > 4 * REMEMBERED:
+        if len(self.pairs) > 2 * REMEMBERED:
             self.pairs.clear()
         for p in pieces:
             if p not in known and p in known.old:
@@ -228,38 +233,50 @@ class TrieBpe:
         fresh = {w for parts in new.values() for w, special in parts if not special and not words.knows(w)}
         long = {}
         for w, tokens in self.encode_words(list(fresh)).items():
-            (words if len(w) <= LONGEST else long)[w] = (len(tokens), " ".join([str(vocab[t]) for t in tokens]), " ".join(tokens))
+            (words if len(w) <= LONGEST else long)[w] = tuple([vocab[t] for t in tokens])
         out = {}
         for piece, parts in new.items():
-            coded = [(1, str(self.special[w]), w) if special else long[w] if w in long else words[w] for w, special in parts]
-            found = coded[0] if len(coded) == 1 else (sum([c[0] for c in coded]), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded]))
-            (known if len(piece) <= LONGEST else out)[piece] = found
+            coded = [(self.special[w],) if special else long[w] if w in long else words[w] for w, special in parts]
+            (known if len(piece) <= LONGEST else out)[piece] = coded[0] if len(coded) == 1 else tuple(chain.from_iterable(coded))
         return out
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
-        """Of each text: the number of tokens, the ids in decimal joined by one space, the decoded text.
+    def looked_up(self, distinct: list[str]) -> list[tuple[int, ...]]:
+        """The ids of each of the pieces. They are learnt in sorted order, LEARNT at a time: words with a common prefix stay together,
+        and the caches are never more than that over their bounds."""
+        out: list = [()] * len(distinct)
+        order = sorted(range(len(distinct)), key=distinct.__getitem__)
+        for lo in range(0, len(order), LEARNT):
+            part = order[lo : lo + LEARNT]
+            long, known = self.learn({distinct[i] for i in part} - {""}), self.known
+            for i in part:
+                if p := distinct[i]:
+                    out[i] = long[p] if p in long else known[p]
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, pa.ListArray, pa.Array]:
+        """Of each text: the number of tokens, the ids, the decoded text.
 
-        Texts are cut and their distinct pieces numbered by Arrow; a piece's ids and tokens are looked up once, and put in the
-        places of all its occurrences at once."""
+        Texts are cut and their distinct pieces numbered by Arrow; a piece's ids are looked up once, and put in the places of all its
+        occurrences at once."""
         parts = pc.ascii_split_whitespace(texts.fill_null(""))
         pieces = parts.flatten().dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        long, known = self.learn(set(distinct) - {""}), self.known
-        coded = [(0, "", "") if not p else long[p] if p in long else known[p] for p in distinct]
-        counts = np.array([c[0] for c in coded], np.int64)[pieces.indices.to_numpy()] if coded else np.zeros(0, np.int64)
-        at = np.concatenate([[0], np.cumsum(counts)])[parts.offsets.to_numpy()]
-        written = []
-        for which in (1, 2):
-            flat = pa.array([c[which] + " " if c[0] else "" for c in coded], pa.string()).take(pieces.indices)
-            ends = np.frombuffer(flat.buffers()[1], np.int32)[: len(flat) + 1][parts.offsets.to_numpy()].astype(np.int32)
-            whole = pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), flat.buffers()[2])
-            written.append(pc.utf8_slice_codeunits(whole, 0, -1))
-        return np.diff(at), *written
+        coded = self.looked_up(pieces.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        ids = pa.array(np.fromiter(chain.from_iterable(coded), np.int32, int(sizes.sum())))
+        each = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), ids).take(pieces.indices)
+        at = np.concatenate([[0], np.cumsum(sizes[pieces.indices.to_numpy()])])[parts.offsets.to_numpy()]
+        coded_texts = pa.ListArray.from_arrays(at.astype(np.int32), each.flatten())
+        return np.diff(at), coded_texts, joined(coded_texts, self.spelt.take(coded_texts.values))
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.token[i] for i in ids if i in self.token)
 
 
+def joined(lists: pa.ListArray, words: pa.Array) -> pa.Array:
+    """The words of each list, joined by one space; ``words`` stand for the lists' values."""
+    return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, words), " ")
+
+
 @lru_cache(2)
 def encoder(path: str) -> TrieBpe:
     found = TrieBpe(path)
@@ -296,11 +313,9 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
             gc.enable()
 
     def coded(bpe: TrieBpe, part: pa.RecordBatch) -> pa.RecordBatch:
-        counts, decimal, decoded = bpe.encode(pa.concat_arrays([part.column(1)]))
-        if ids == "array":
-            flat = pc.split_pattern(decimal.filter(pa.array(counts > 0)), " ").flatten().cast(pa.int32())
-            decimal = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), flat)
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), decimal, decoded], schema=arrow)
+        counts, coded_texts, decoded = bpe.encode(pa.concat_arrays([part.column(1)]))
+        shown = coded_texts if ids == "array" else joined(coded_texts, coded_texts.values.cast(pa.string()))
+        return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), shown, decoded], schema=arrow)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 

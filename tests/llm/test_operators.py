@@ -193,3 +193,24 @@ def test_pairs_of_tokens_are_judged_as_all_merges_judge_them():
     for i in range(8000):
         left, right = pick.choice(inner if i % 2 else [t for t in short[:400] if not t.endswith(bpe.end)]), pick.choice(tokens if i % 3 else short)
         assert bpe.compatible(left, right) == (bpe.merged(bpe.symbols(left) + bpe.symbols(right)) == [left, right])
+
+
+def test_bpe_caches_stay_small_within_a_batch(monkeypatch):
+    """A batch with many more distinct pieces than are remembered: the caches keep their bounds, ids and texts are the library's."""
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from muster.llm import op3_bpe
+
+    monkeypatch.setattr(op3_bpe, "LEARNT", 50, raising=False)
+    bpe, pick = op3_bpe.TrieBpe(vocabulary_path("word_bpe_49k.json")), random.Random(4)
+    bpe.known.most = bpe.words.most = 100
+    texts = [" ".join("".join(pick.choices("abcdeéß,'", k=pick.randrange(1, 9))) for _ in range(300)) for _ in range(10)] + [None, "", " \t", "<|endoftext|> It's 12"]
+    counts, ids, decoded = bpe.encode(pa.array(texts, pa.string()))
+    assert all(len(half) <= 150 for cache in (bpe.known, bpe.words) for half in (cache, cache.old))
+    library = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids.to_pylist() == want and counts.tolist() == [len(w) for w in want]
+    assert decoded.to_pylist() == [library.decode(w, skip_special_tokens=False) for w in want]
