@@ -8,7 +8,7 @@ word's last symbol carries the end-of-word mark and is resolved at its leaf. Enc
 
 Texts are cut at ASCII white space first, at which no word of the tokenizer can cross; the tokenizer's own normaliser and
 splitter turn a cut piece into words. Each task keeps caches of bounded size (twice REMEMBERED short pieces and words, as
-tuples of ids, and as many verdicts on pairs of tokens) and works on BATCH_CHARS of text at a time, or on one text that is longer. There is no shuffle.
+tuples of ids, and twice as many verdicts on pairs of tokens) and works on BATCH_CHARS of text at a time, or on one text that is longer. There is no shuffle.
 
 Nulls: a null text is empty and has no tokens. Texts of any length are encoded whole. Repeated rows are encoded each;
 an empty table gives no rows; other columns are ignored.
@@ -38,7 +38,7 @@ ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: Most pieces, words and pair verdicts in the younger half of a worker's caches; beyond it, the older half is forgotten.
 REMEMBERED = 110_000
 #: Pieces that are learnt at a time.
-LEARNT = 20_000
+LEARNT = 80_000
 #: Longer pieces aren't remembered.
 LONGEST = 48
 BATCH_CHARS = 5_000_000
@@ -89,6 +89,7 @@ class TrieBpe:
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         #: What each id spells, by id.
         self.spelt = pa.array([self.token.get(i) for i in range(max(self.token, default=-1) + 1)], pa.string())
+        self.decimal = pa.array([str(i) for i in range(len(self.spelt))], pa.string())
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
         self.made: dict[str, tuple[str, str, int]] = {}
@@ -224,7 +225,7 @@ class TrieBpe:
         known, words, vocab = self.known, self.words, self.vocab
         known.age()
         words.age()
-        if len(self.pairs) > 2 * REMEMBERED:
+        if len(self.pairs) > 4 * REMEMBERED:
             self.pairs.clear()
         for p in pieces:
             if p not in known and p in known.old:
@@ -240,11 +241,11 @@ class TrieBpe:
             (known if len(piece) <= LONGEST else out)[piece] = coded[0] if len(coded) == 1 else tuple(chain.from_iterable(coded))
         return out
 
-    def looked_up(self, distinct: list[str]) -> list[tuple[int, ...]]:
+    def looked_up(self, pieces: pa.Array) -> list[tuple[int, ...]]:
         """The ids of each of the pieces. They are learnt in sorted order, LEARNT at a time: words with a common prefix stay together,
         and the caches are never more than that over their bounds."""
+        distinct, order = pieces.to_pylist(), pc.array_sort_indices(pieces).to_pylist()
         out: list = [()] * len(distinct)
-        order = sorted(range(len(distinct)), key=distinct.__getitem__)
         for lo in range(0, len(order), LEARNT):
             part = order[lo : lo + LEARNT]
             long, known = self.learn({distinct[i] for i in part} - {""}), self.known
@@ -260,7 +261,7 @@ class TrieBpe:
         occurrences at once."""
         parts = pc.ascii_split_whitespace(texts.fill_null(""))
         pieces = parts.flatten().dictionary_encode()
-        coded = self.looked_up(pieces.dictionary.to_pylist())
+        coded = self.looked_up(pieces.dictionary)
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
         ids = pa.array(np.fromiter(chain.from_iterable(coded), np.int32, int(sizes.sum())))
         each = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), ids).take(pieces.indices)
@@ -314,7 +315,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
 
     def coded(bpe: TrieBpe, part: pa.RecordBatch) -> pa.RecordBatch:
         counts, coded_texts, decoded = bpe.encode(pa.concat_arrays([part.column(1)]))
-        shown = coded_texts if ids == "array" else joined(coded_texts, coded_texts.values.cast(pa.string()))
+        shown = coded_texts if ids == "array" else joined(coded_texts, bpe.decimal.take(coded_texts.values))
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts), shown, decoded], schema=arrow)
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
