@@ -75,7 +75,9 @@ class TrieBpe:
         model = spec["model"]
         if model["type"] != "BPE" or model.get("byte_fallback") or model.get("continuing_subword_prefix") or model.get("ignore_merges"):
             raise ValueError("a BPE vocabulary without byte fallback is needed")
-        self.library = Tokenizer.from_file(path)
+        # the library's normaliser and splitter alone: its model would be a second copy of the vocabulary in each worker
+        library = Tokenizer.from_str(json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None, "decoder": None}))
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.end = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
@@ -90,8 +92,12 @@ class TrieBpe:
         #: What each id spells, by id.
         self.spelt = pa.array([self.token.get(i) for i in range(max(self.token, default=-1) + 1)], pa.string())
         self.decimal = pa.array([str(i) for i in range(len(self.spelt))], pa.string())
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        #: Verdicts on pairs of tokens, by both numbers in one (a pair of strings takes five times as much); a token's number is its id
+        #: and one, 0 for what is none. Lengths and ids by number: caches share these ids instead of having objects of their own.
+        self.pairs: dict[int, bool] = {}
+        self.whole: dict[str, int] = {}
+        self.ids = list(range(-1, len(self.spelt)))
+        self.length = [0, *(len(self.token.get(i, "")) for i in range(len(self.spelt)))]
         self.made: dict[str, tuple[str, str, int]] = {}
         self.words, self.known = Memory(), Memory()
         self.plain = self._is_plain(spec)
@@ -138,41 +144,43 @@ class TrieBpe:
 
         Both are taken apart at the border, the later merge first; a merge across comes too early if its rank is lower (or, against
         the right token's merge, equal, for the leftmost of equals goes first)."""
-        if (found := self.pairs.get((left, right))) is None:
-            a, b, limit, found = left, right, 1 << 60, True
-            while True:
-                if self.rank.get((a, b), 1 << 60) < limit:
-                    found = False
-                    break
-                of_a, of_b = self.halves(a), self.halves(b)
-                if of_a[2] < 0 and of_b[2] < 0:
-                    break
-                if of_a[2] > of_b[2]:
-                    a, limit = of_a[1], of_a[2]
-                else:
-                    b, limit = of_b[0], of_b[2] + 1
-            self.pairs[left, right] = found
-        return found
+        a, b, limit = left, right, 1 << 60
+        while True:
+            if self.rank.get((a, b), 1 << 60) < limit:
+                return False
+            of_a, of_b = self.halves(a), self.halves(b)
+            if of_a[2] < 0 and of_b[2] < 0:
+                return True
+            if of_a[2] > of_b[2]:
+                a, limit = of_a[1], of_a[2]
+            else:
+                b, limit = of_b[0], of_b[2] + 1
 
     # -- the walk ------------------------------------------------------------------------------------------------
 
     def may_be(self, token: str) -> bool:
         """Whether a piece of a word is a token that its own merges give."""
+        return self.number(token) > 0
+
+    def number(self, token: str) -> int:
+        """The number of such a token, else 0."""
         if (found := self.whole.get(token)) is None:
-            found = self.whole[token] = token in self.vocab and self.merged(self.symbols(token)) == [token]
+            own = token in self.vocab and self.merged(self.symbols(token)) == [token]
+            found = self.whole[token] = self.vocab[token] + 1 if own else 0
+        return found
+
+    def fitting(self, left: int, right: int) -> bool:
+        """Whether a token can follow another, by their numbers."""
+        if (found := self.pairs.get(left << 32 | right)) is None:
+            found = self.pairs[left << 32 | right] = self.compatible(self.token[left - 1], self.token[right - 1])
         return found
 
-    def fitting(self, token: str, start: int, last: list[str]) -> bool:
-        """Whether a token can follow what ends at ``start``; last[i]: the last token of word[:i]."""
-        left = last[start]
-        return not start or self.pairs.get((left, token)) or ((left, token) not in self.pairs and self.compatible(left, token))
-
-    def encode_words(self, words: list[str]) -> dict[str, tuple[str, ...]]:
-        """Tokens of each distinct word. Sorting puts the words in the order of a depth-first walk of their trie; the path
-        from the root to the current node is ``last``."""
-        out: dict[str, tuple[str, ...]] = {}
-        begins, whole, pairs, closing, end = self.begins, self.whole, self.pairs, self.closing, self.end
-        last, open_, before = [""], [[]], ""  # open_[n]: starts from which word[start:n] begins some token
+    def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of each distinct word. Sorting puts the words in the order of a depth-first walk of their trie; the path
+        from the root to the current node is ``last``: last[i] is the number of the last token of word[:i]."""
+        out: dict[str, tuple[int, ...]] = {}
+        begins, whole, pairs, closing, ids, length = self.begins, self.whole, self.pairs, self.closing, self.ids, self.length
+        last, open_, before = [0], [[]], ""  # open_[n]: starts from which word[start:n] begins some token
         for word in sorted(words):
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
@@ -184,21 +192,23 @@ class TrieBpe:
                 open_.append(starts)
                 for s in starts:
                     token = word[s:n]
-                    if (whole.get(token) or (token not in whole and self.may_be(token))) and (not s or pairs.get((last[s], token)) or self.fitting(token, s, last)):
-                        last.append(token)
+                    if (k := whole.get(token)) is None:
+                        k = self.number(token)
+                    if k and (not s or pairs.get(last[s] << 32 | k) or self.fitting(last[s], k)):
+                        last.append(k)
                         break
                 else:
                     raise ValueError(f"no token ends {word[:n]!r}")
             size = len(word)
             for s in range(max(0, size - self.longest_end), size):
-                if (token := closing.get(word[s:])) and (whole.get(token) or (token not in whole and self.may_be(token))) and (not s or pairs.get((last[s], token)) or self.fitting(token, s, last)):
+                if (token := closing.get(word[s:])) and (k := self.number(token)) and (not s or pairs.get(last[s] << 32 | k) or self.fitting(last[s], k)):
                     break
             else:
                 raise ValueError(f"no token ends {word!r}")
-            tokens, at = [token], s
+            tokens, at = [ids[k]], s
             while at:
-                tokens.append(last[at])
-                at -= len(last[at])
+                tokens.append(ids[last[at]])
+                at -= length[last[at]]
             tokens.reverse()
             out[word] = tuple(tokens)
             before = word
@@ -216,13 +226,13 @@ class TrieBpe:
             elif part and self.plain and part.isascii() and part.isprintable():
                 words += [(w, False) for w in ASCII_WORD.findall(part.lower())]
             elif part:
-                normal = self.library.normalizer.normalize_str(part) if self.library.normalizer else part
-                words += [(w, False) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+                normal = self.normalizer.normalize_str(part) if self.normalizer else part
+                words += [(w, False) for w, _ in self.pre_tokenizer.pre_tokenize_str(normal)]
         return words
 
     def learn(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
         """What long pieces come to; the shorter ones are known afterwards. All new words go through one trie."""
-        known, words, vocab = self.known, self.words, self.vocab
+        known, words = self.known, self.words
         known.age()
         words.age()
         if len(self.pairs) > 4 * REMEMBERED:
@@ -233,8 +243,8 @@ class TrieBpe:
         new = {p: self.split(p) for p in pieces if p not in known}
         fresh = {w for parts in new.values() for w, special in parts if not special and not words.knows(w)}
         long = {}
-        for w, tokens in self.encode_words(list(fresh)).items():
-            (words if len(w) <= LONGEST else long)[w] = tuple([vocab[t] for t in tokens])
+        for w, coded in self.encode_words(list(fresh)).items():
+            (words if len(w) <= LONGEST else long)[w] = coded
         out = {}
         for piece, parts in new.items():
             coded = [(self.special[w],) if special else long[w] if w in long else words[w] for w, special in parts]
@@ -301,6 +311,9 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
     arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()
+        release = pa.default_memory_pool().release_unused  # else Arrow keeps freed buffers: those of earlier stages, and of each slice
+        release()
         bpe = encoder(vocabulary if "/" in vocabulary else vocabulary_path(vocabulary))
         gc.disable()  # millions of small objects without cycles
         try:
@@ -309,6 +322,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
                 while at < batch.num_rows:
                     to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + batch_chars, side="right")))
                     yield coded(bpe, batch.slice(at, to - at))
+                    release()
                     at = to
         finally:
             gc.enable()
