@@ -302,10 +302,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids: str = "array", batch_chars: int = BATCH_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids: str = "array", batch_chars: int = BATCH_CHARS, give_back: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (array of ints, or with ids="text" one string of decimals joined by a space) and decoded.
 
-    ``vocabulary``: a path, or the name of a public vocabulary file. ``batch_chars``: text that is worked on at a time."""
+    ``vocabulary``: a path, or the name of a public vocabulary file. ``batch_chars``: text that is worked on at a time.
+    ``give_back``: after each slice Arrow returns freed buffers, for less memory and more time."""
     kind = T.ArrayType(T.IntegerType()) if ids == "array" else T.StringType()
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", kind), T.StructField("decoded", T.StringType())])
     arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema.fields])
@@ -322,7 +323,8 @@ def encode_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", ids
                 while at < batch.num_rows:
                     to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + batch_chars, side="right")))
                     yield coded(bpe, batch.slice(at, to - at))
-                    release()
+                    if give_back:
+                        release()
                     at = to
         finally:
             gc.enable()
